@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+    "date": T.DateType(),
+}
+
+
+def _schema(columns: str, **nested: T.DataType) -> T.StructType:
+    """Columns as ``name type``, then nested ones; needs no running session."""
+    pairs = [column.split() for column in columns.split(",")]
+    fields = [T.StructField(name, _TYPES[kind]) for name, kind in pairs]
+    return T.StructType(fields + [T.StructField(n, t) for n, t in nested.items()])
 
 
 # --- bronze -----------------------------------------------------------------
@@ -24,22 +36,23 @@ BRONZE_MEASUREMENTS = _schema(
 
 # --- documents inside a payload ----------------------------------------------
 
-_PARAMETER = "struct<id:int, name:string, units:string, displayName:string>"
+_PARAMETER = _schema("id int, name string, units string, displayName string")
+_INSTANT = _schema("utc string, local string")
 
 MEASUREMENT_ITEM = _schema(
-    "value double, unit string, "
-    f"parameter {_PARAMETER}, "
-    "period struct<label:string, interval:string, "
-    "datetimeFrom:struct<utc:string, local:string>, "
-    "datetimeTo:struct<utc:string, local:string>>"
+    "value double, unit string",
+    parameter=_PARAMETER,
+    period=_schema(
+        "label string, interval string", datetimeFrom=_INSTANT, datetimeTo=_INSTANT
+    ),
 )
 
 LOCATION_ITEM = _schema(
-    "id int, name string, locality string, "
-    "country struct<name:string, code:string>, "
-    "coordinates struct<latitude:double, longitude:double>, "
-    "datetimeLast struct<utc:string>, "
-    f"sensors array<struct<id:int, name:string, parameter:{_PARAMETER}>>"
+    "id int, name string, locality string",
+    country=_schema("name string, code string"),
+    coordinates=_schema("latitude double, longitude double"),
+    datetimeLast=_schema("utc string"),
+    sensors=T.ArrayType(_schema("id int, name string", parameter=_PARAMETER)),
 )
 
 MEASUREMENT_ITEMS = T.ArrayType(MEASUREMENT_ITEM)
@@ -48,8 +61,9 @@ LOCATION_ITEMS = T.ArrayType(LOCATION_ITEM)
 # --- landed pages: one JSON document per page response -------------------------
 # Documents stay raw text, so fields outside the item schemas survive in bronze.
 
-LOCATION_PAGE = _schema("page int, status int, results array<string>")
-MEASUREMENT_PAGE = _schema("sensor_id int, page int, status int, results array<string>")
+_TEXTS = T.ArrayType(T.StringType())
+LOCATION_PAGE = _schema("page int, status int", results=_TEXTS)
+MEASUREMENT_PAGE = _schema("sensor_id int, page int, status int", results=_TEXTS)
 
 # --- dimensions -----------------------------------------------------------------
 
