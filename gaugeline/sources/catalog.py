@@ -116,6 +116,22 @@ def ensure_all(spark: SparkSession, tables: Tables) -> None:
     )
     ensure_daily(spark, tables.daily)
     ensure_table(spark, tables.batch_log, schemas.BATCH_LOG)
+    refresh(spark, tables)
+
+
+def refresh(spark: SparkSession, tables: Tables) -> None:
+    """Forget cached file listings: another session, a stream's too, may have written."""
+    for table in (
+        tables.bronze_locations,
+        tables.bronze_measurements,
+        tables.dim_locations,
+        tables.dim_sensors,
+        tables.staging,
+        tables.fact,
+        tables.daily,
+        tables.batch_log,
+    ):
+        spark.catalog.refreshTable(table)
 
 
 def append(df: DataFrame, table: str) -> None:

@@ -46,4 +46,5 @@ def stream_facts(
         .start()
     )
     query.awaitTermination()
+    catalog.refresh(spark, tables)
     facts.build_daily(spark, tables, as_of)
