@@ -29,7 +29,7 @@ from gaugeline.operators import (  # noqa: E402
 )
 from gaugeline.plans import dimensions as dimension_plan  # noqa: E402
 from gaugeline.plans import facts as fact_plan  # noqa: E402
-from gaugeline.session import configure, scratch_dir  # noqa: E402
+from gaugeline.session import configure, materialise, scratch_dir  # noqa: E402
 from gaugeline.sources import catalog, landing, limits  # noqa: E402
 from gaugeline.streaming.facts import stream_facts  # noqa: E402
 
@@ -265,12 +265,13 @@ def raw_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    """An older snapshot and the newest one."""
+    """A table with an older snapshot and the newest one."""
     older = sample.location_documents(spark, sf, FIRST_RUN_TS)
     newer = sample.location_documents(spark, sf)
-    return sample.location_snapshot(older, "snap-1", FIRST_RUN_TS).unionByName(
+    both = sample.location_snapshot(older, "snap-1", FIRST_RUN_TS).unionByName(
         sample.location_snapshot(newer, "snap-2", RUN_TS)
     )
+    return materialise(both, "snapshots")
 
 
 def latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
@@ -338,6 +339,23 @@ def batch_audit(spark: SparkSession, sf: str) -> DataFrame:
     return audit.batch_audit(batches)
 
 
+def batch_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads cut short for sign-ups and starts that are no instant for views: the
+    rows they cost are counted."""
+    kind = F.col("parameter_id")
+    payload = F.when(kind == 4, F.expr("left(api_payload, length(api_payload) - 1)")).otherwise(
+        F.when(kind == 5, F.replace("api_payload", F.lit('From":{"utc":"'), F.lit('From":{"utc":"on ')))
+        .otherwise(F.col("api_payload"))
+    )
+    rows = _bronze(spark, sf).withColumn("api_payload", payload).withColumn(
+        "batch_id", F.concat(F.lit("parameter-"), kind)
+    )
+    rows = materialise(rows, "bronze")
+    return silver.payload_rejects(rows).join(
+        silver.instant_rejects(silver.explode_batches(rows, RUN_TS)), "batch_id", "left"
+    )
+
+
 # --- planning ------------------------------------------------------------------------
 
 
@@ -394,6 +412,7 @@ def upsert_locations(spark: SparkSession, sf: str) -> DataFrame:
     incoming = dimensions.flatten_locations(
         sample.location_snapshot(newer, "snap-2", RUN_TS), RUN_TS
     )
+    dim, incoming = materialise(dim, "dim"), materialise(incoming, "incoming")
     return _plain(upsert.upsert_locations(dim, incoming, RUN_TS))
 
 
@@ -417,6 +436,7 @@ def upsert_sensors(spark: SparkSession, sf: str) -> DataFrame:
 
     dim = sensors(events.where(F.col("at") < F.lit(FIRST_RUN_TS)), "first", FIRST_RUN_TS)
     incoming = sensors(events.where(F.col("at") >= F.lit(OVERLAP_FROM)), "second", RUN_TS)
+    dim, incoming = materialise(dim, "dim"), materialise(incoming, "incoming")
     return _plain(upsert.upsert_sensors(dim, incoming, RUN_TS))
 
 
@@ -430,6 +450,7 @@ def merge_fact(spark: SparkSession, sf: str) -> DataFrame:
     fact = fact.withColumn("batch_id", F.lit("run-1")).select(columns)
     incoming = readings.where(F.col("at") >= F.lit(OVERLAP_FROM))
     incoming = incoming.withColumn("batch_id", F.lit("run-2")).select(columns)
+    fact, incoming = materialise(fact, "fact"), materialise(incoming, "incoming")
     return _plain(fact.unionByName(upsert.new_readings(fact, incoming)))
 
 
@@ -439,6 +460,7 @@ def upsert_daily_stats(spark: SparkSession, sf: str) -> DataFrame:
     current = daily.daily_stats(readings.where(F.col("at") < F.lit(FIRST_RUN_TS)))
     renamed = readings.withColumn("parameter_name", F.upper("parameter_name"))
     stats = daily.daily_stats(renamed.where(F.col("at") >= F.lit(OVERLAP_FROM)))
+    current, stats = materialise(current, "current"), materialise(stats, "stats")
     return _rounded(upsert.upsert_daily(current, stats))
 
 
@@ -446,7 +468,7 @@ def upsert_daily_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def daily_stats(spark: SparkSession, sf: str) -> DataFrame:
-    recent = daily.trailing_days(sample.readings(spark, sf), as_of=AS_OF)
+    recent = daily.trailing_days(sample.readings(spark, sf), "at", AS_OF)
     return _rounded(daily.daily_stats(recent))
 
 
@@ -822,6 +844,13 @@ WITH {_READINGS}
 SELECT 'day-' || strftime(ts, '%Y-%m-%d') AS batch_id,
        count(DISTINCT sensor_id) AS bronze_rows, count(*) AS documents
 FROM readings GROUP BY 1""",
+        "batch_rejects": f"""
+WITH {_READINGS}
+SELECT 'parameter-' || parameter_id AS batch_id,
+       count(DISTINCT CASE WHEN parameter_id = 4 THEN sensor_id END) AS rejected_payloads,
+       CASE WHEN parameter_id <> 4 THEN count(*) FILTER (WHERE parameter_id = 5) END
+         AS rejected_instants
+FROM readings GROUP BY parameter_id""",
         "high_water_mark": f"""
 WITH {_READINGS}, {_WINDOWS_SEEN}
 SELECT country_code, arg_max(w_from, w_to) AS last_from, max(w_to) AS last_to
@@ -969,6 +998,7 @@ _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     unprocessed_batches,
     distinct_batches,
     batch_audit,
+    batch_rejects,
     high_water_mark,
     ingest_window,
     fetch_plan,

@@ -1,12 +1,13 @@
 """Equi-joins that stay balanced when one key holds a large share of the left rows.
 
-``spread_join`` is the general form. A bounded sketch finds the left side's
-heaviest keys; their left rows are dealt over several salts and the right rows of
-just those keys are repeated once per salt. The sketch only decides where rows go,
-so the result is that of the plain join whatever it finds.
+A bounded sketch finds the left side's heaviest keys (``hot_salts``). Their left rows
+are dealt over several salts (``deal``) and the right rows of just those keys are
+repeated once per salt (``repeat``); then both sides join on the keys and the salt.
+The sketch only decides where rows go, so the result is that of the plain join
+whatever it finds.
 
 ``lookup_join`` broadcasts the right side when counting shows that it is small and
-falls back to ``spread_join`` beyond that.
+takes the salted way beyond that.
 """
 
 from __future__ import annotations
@@ -18,26 +19,60 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000  # left rows of one key that one task should take
 HOT_KEYS = 256  # heaviest keys kept: they stay a literal-sized map
-SKETCH_ITEMS = 10_000  # counters of the heavy-hitter sketch
+SKETCH_ITEMS = 10_000  # counters of one heavy-hitter sketch
+SKETCH_GROUPS = 512  # sketches left after the first of two merges
 BROADCAST_ROWS = 100_000
 
-_SALT = "__salt"
+SALT = "__salt"
 
 
-def _salts_of(left: DataFrame, keys: Sequence[str], hot_rows: int) -> Column:
+def hot_salts(left: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> Column:
     """One map from key hash to number of salts, holding hot keys only.
 
-    Keys are counted by hash, so two keys that collide share their salts, which is
-    harmless: both sides derive the number from the same map.
+    Each task sketches its own rows; sketches are merged in two steps, so that the
+    last one gets a fixed number of them. Keys are counted by hash: two keys that
+    collide share their salts, which is harmless, as both sides use the same map.
     """
-    top = F.expr(f"approx_top_k(__key, {HOT_KEYS}, {SKETCH_ITEMS})")
+    hot_rows = hot_rows or HOT_ROWS
+    hashed = left.select(
+        F.xxhash64(*keys).alias("__key"),
+        F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("__group"),
+    )
+    sketches = hashed.groupBy("__group").agg(
+        F.expr(f"approx_top_k_accumulate(__key, {SKETCH_ITEMS})").alias("__sketch")
+    )
+    top = F.expr(
+        f"approx_top_k_estimate(approx_top_k_combine(__sketch, {SKETCH_ITEMS}), {HOT_KEYS})"
+    )
     hot = F.filter(top, lambda x: x["count"] > hot_rows)
     salts = F.transform(
         hot,
         lambda x: F.struct(x["item"], F.ceil(x["count"] / hot_rows).cast("int")),
     )
-    hashed = left.select(F.xxhash64(*keys).alias("__key"))
-    return hashed.agg(F.map_from_entries(salts).alias("salts")).scalar()
+    # Grouped by a constant: without rows there is no group and the map is NULL,
+    # whereas combining nothing at all fails.
+    merged = sketches.groupBy(F.lit("all")).agg(F.map_from_entries(salts).alias("salts"))
+    return merged.select("salts").scalar()
+
+
+def _salts_of_row(salts: Column, keys: Sequence[str]) -> Column:
+    return F.coalesce(F.try_element_at(salts, F.xxhash64(*keys)), F.lit(1))
+
+
+def deal(left: DataFrame, keys: Sequence[str], salts: Column) -> DataFrame:
+    """Give every row one of the salts of its key.
+
+    The partition number deals out copies of one row too, and unlike a random
+    number it is the same when a lost task runs again.
+    """
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]) + F.spark_partition_id()
+    return left.withColumn(SALT, F.pmod(spread, _salts_of_row(salts, keys)).cast("int"))
+
+
+def repeat(right: DataFrame, keys: Sequence[str], salts: Column) -> DataFrame:
+    """Repeat every row for each salt of its key; most keys have one."""
+    last = _salts_of_row(salts, keys) - 1
+    return right.withColumn(SALT, F.explode(F.sequence(F.lit(0), last)))
 
 
 def spread_join(
@@ -45,22 +80,22 @@ def spread_join(
     right: DataFrame,
     keys: Sequence[str],
     how: str,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Join on ``keys``; ``how`` is inner, left, left_semi or left_anti.
 
     NULL keys match nothing, as in a plain equi-join, and are dealt out like any
-    other hot key. Keep one right row per key where the join allows it.
+    other hot key. For semi and anti joins the right side is reduced to distinct
+    keys; for the others keep few right rows per key.
     """
-    salts = F.coalesce(
-        F.try_element_at(_salts_of(left, keys, hot_rows), F.xxhash64(*keys)), F.lit(1)
-    )
-    # The partition number deals out copies of one row too, and unlike a random
-    # number it is the same when a lost task runs again.
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]) + F.spark_partition_id()
-    dealt = left.withColumn(_SALT, F.pmod(spread, salts).cast("int"))
-    repeated = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
-    return dealt.join(repeated, [*keys, _SALT], how).drop(_SALT)
+    keys = list(keys)
+    salts = hot_salts(left, keys, hot_rows)
+    if how in ("left_semi", "left_anti"):
+        # Distinct after the salt, so that the join reuses the shuffle.
+        right = repeat(right.select(*keys).dropna(), keys, salts).distinct()
+    else:
+        right = repeat(right, keys, salts)
+    return deal(left, keys, salts).join(right, [*keys, SALT], how).drop(SALT)
 
 
 def lookup_join(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gaugeline import schemas
 from gaugeline.functions.instants import instant_or_now
-from gaugeline.operators.joins import spread_join
+from gaugeline.operators.joins import SALT, deal, hot_salts, repeat, spread_join
 
 # Given a column name, the target's or the source's column of that name.
 Side = Callable[[str], Column]
@@ -55,8 +55,7 @@ def new_rows(
     """
     if dedupe_source:
         source = deduplicate(source, keys)
-    existing = _known(target.select(*keys), keys).distinct()
-    return spread_join(source, existing, keys, "left_anti").select(*source.columns)
+    return spread_join(source, target, keys, "left_anti").select(*source.columns)
 
 
 def _ambiguous(keys: Sequence[str]) -> Column:
@@ -76,13 +75,15 @@ def _updated(
     """The target's rows after their matching source rows are applied."""
     keys = list(keys)
     source_only = [c for c in source.columns if c not in keys]
-    # Copies of a key collapse on the map side; one source row per key remains.
+    # Copies of a key collapse on the map side; one source row per key remains. It is
+    # grouped by key and salt, so the join needs no further shuffle.
+    salts = hot_salts(target, keys)
     by_key = (
-        _known(source, keys)
-        .groupBy(*keys)
+        repeat(_known(source, keys), keys, salts)
+        .groupBy(*keys, SALT)
         .agg(F.count("*").alias("__n"), F.max(F.struct(*source_only)).alias("__s"))
     )
-    matched = spread_join(target, by_key, keys, "left")
+    matched = deal(target, keys, salts).join(by_key, [*keys, SALT], "left").drop(SALT)
 
     def of_target(name: str) -> Column:
         return F.col(name)

@@ -132,9 +132,8 @@ def transform_measurements(
         rows = spark.table(tables.bronze_measurements).where(chosen)
         staged = stage(rows, tables, BATCH_LOAD, run_ts).where(chosen)
         append_facts(staged, tables, run_ts, batch_ids)
-        log_batches(
-            spark.createDataFrame([(b,) for b in batch_ids], "batch_id string"), tables, run_ts
-        )
+        named = spark.range(1).select(F.explode(F.lit(batch_ids)).alias("batch_id"))
+        log_batches(named, tables, run_ts)
         loaded += len(batch_ids)
     return loaded
 

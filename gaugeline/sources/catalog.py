@@ -72,13 +72,10 @@ def ensure_table(
     schema: T.StructType,
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Create an empty table unless it exists. New partition columns go last."""
-    if spark.catalog.tableExists(table):
-        return
-    writer = spark.createDataFrame([], schema).write.format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.mode("ignore").saveAsTable(table)
+    """Create an empty table unless it exists; partition columns go last."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {layout}")
 
 
 def ensure_like(df: DataFrame, table: str) -> None:
@@ -87,13 +84,6 @@ def ensure_like(df: DataFrame, table: str) -> None:
         df.limit(0).write.format("parquet").saveAsTable(table)
 
 
-def ensure_daily(spark: SparkSession, table: str) -> None:
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.DAILY)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet PARTITIONED BY (day_start)"
-    )
-
-
 def ensure_all(spark: SparkSession, tables: Tables) -> None:
     """All tables of a database. Bronze and staging are laid out by batch, so a run
     reads only its own files; fact and daily statistics by day."""
@@ -114,7 +104,7 @@ def ensure_all(spark: SparkSession, tables: Tables) -> None:
         T.StructType(schemas.FACT.fields + [T.StructField(FACT_DAY, T.DateType())]),
         [FACT_DAY],
     )
-    ensure_daily(spark, tables.daily)
+    ensure_table(spark, tables.daily, schemas.DAILY, ["day_start"])
     ensure_table(spark, tables.batch_log, schemas.BATCH_LOG)
     refresh(spark, tables)
 

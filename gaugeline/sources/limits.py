@@ -22,4 +22,7 @@ RECOMMENDED_LIMITS = [
 def limits(
     spark: SparkSession, rows: Iterable[tuple[int, int]] = RECOMMENDED_LIMITS
 ) -> DataFrame:
-    return spark.createDataFrame(list(rows), schemas.LIMITS)
+    """An inline relation, so the planner knows its size and broadcasts it."""
+    pairs = ", ".join(f"({int(parameter)}, {int(limit)})" for parameter, limit in rows)
+    columns = ", ".join(schemas.LIMITS.fieldNames())
+    return spark.sql(f"SELECT * FROM VALUES {pairs} AS t({columns})")

@@ -27,9 +27,16 @@ def test_spread_join_equals_plain_join(sides, how, hot_rows):
     assert Counter(map(tuple, spread.collect())) == Counter(map(tuple, plain.collect()))
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_empty_sides(sides, how):
+    left, right = sides
+    for l, r in ((left.limit(0), right), (left, right.limit(0))):
+        assert joins.spread_join(l, r, ["k"], how, 10).count() == l.join(r, "k", how).count()
+
+
 def test_hot_keys_are_dealt_over_salts(sides):
     left, _ = sides
-    salts = joins._salts_of(left, ["k"], 10)
+    salts = joins.hot_salts(left, ["k"], 10)
     found = left.select("k", salts[F.xxhash64("k")].alias("n")).distinct().collect()
     by_key = {r.k: r.n for r in found}
     assert by_key[7] >= 30 and by_key[None] == 30
@@ -39,9 +46,9 @@ def test_hot_keys_are_dealt_over_salts(sides):
 def test_copies_of_one_row_spread_over_salts(spark):
     left = spark.range(4000).repartition(8).select(F.lit(1).alias("k"), F.lit("same").alias("a"))
     right = spark.createDataFrame([(1,)], "k int")
-    spread = F.xxhash64("k", "a") + F.spark_partition_id()
-    salts = left.select(F.pmod(spread, F.lit(8)).alias("s")).groupBy("s").count().collect()
-    assert len(salts) == 8
+    salts = joins.hot_salts(left, ["k"], 500)
+    dealt = joins.deal(left, ["k"], salts).groupBy(joins.SALT).count().collect()
+    assert len(dealt) == 8
     assert joins.spread_join(left, right, ["k"], "inner", 500).count() == 4000
 
 
