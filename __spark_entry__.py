@@ -133,9 +133,9 @@ def page_prefix(spark: SparkSession, sf: str) -> DataFrame:
             F.when(F.max("value") > 300, 500).otherwise(200).alias("status"),
         )
     )
-    return landing.page_prefix(
-        pages, ["user_id"], page_limit=2, documents=F.col("documents")
-    ).select("user_id", "page", "documents")
+    return landing.page_prefix(pages, ["user_id"], page_limit=2).select(
+        "user_id", "page", "documents"
+    )
 
 
 def values_limits(spark: SparkSession, sf: str) -> DataFrame:

@@ -47,7 +47,8 @@ def ingest_measurements(
 ) -> None:
     """Append the planned sensors' landed pages as one batch, in one write."""
     plan = measurement_plan(spark, tables, run_ts, country_code)
-    pages = landing.page_prefix(landing.read_measurement_pages(spark, path), ["sensor_id"])
+    landed = landing.landed_once(landing.read_measurement_pages(spark, path))
+    pages = landing.page_prefix(landed, ["sensor_id"])
     planned = lookup_join(pages, plan, ["sensor_id"], "inner").withColumn(
         "results",
         landing.within_window(F.col("results"), F.col("window_from"), F.col("window_to")),

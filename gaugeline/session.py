@@ -8,13 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Day boundaries follow the session zone, so it is pinned. Dynamic overwrite makes
-# a partitioned overwrite replace only the partitions it writes.
+# a partitioned overwrite replace only the partitions it writes. Percentile sketches
+# of more groups than the default stay in the hash map before a task sorts its rows.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 

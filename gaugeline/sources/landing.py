@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from gaugeline import schemas
 from gaugeline.functions.instants import parse_instant
 from gaugeline.operators.joins import lookup_join
+from gaugeline.session import materialise
 
 PAGE_LIMIT = 1000
 STATUS_OK = 200
@@ -27,6 +28,16 @@ def read_measurement_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.MEASUREMENT_PAGE).json(path)
 
 
+def landed_once(pages: DataFrame) -> DataFrame:
+    """The pages as a columnar copy with ``documents`` counted.
+
+    Finding where feeds end reads the pages a second time; of the copy that is a few
+    narrow columns instead of all the JSON again.
+    """
+    counted = pages.withColumn("documents", document_count(F.col("results")))
+    return materialise(counted, "pages")
+
+
 def document_count(results: Column) -> Column:
     return F.coalesce(F.size(results), F.lit(0))
 
@@ -35,19 +46,19 @@ def page_prefix(
     pages: DataFrame,
     feed: Sequence[str],
     page_limit: int = PAGE_LIMIT,
-    documents: Column | None = None,
 ) -> DataFrame:
     """The pages 1..n of each feed that a reader following the pages would keep.
 
     A feed ends before its first failed, empty or missing page and after its first
     short page; earlier pages are kept. ``feed`` may be empty: all pages are one feed.
+    Documents are counted in ``results`` unless there is a ``documents`` column.
 
     The end of a feed is a minimum over per-page marks, so it combines on the map
     side and no feed is ever gathered in one task, however many pages it has.
     """
     feed = list(feed)
-    if documents is None:
-        documents = document_count(F.col("results"))
+    counted = "documents" in pages.columns
+    documents = F.col("documents") if counted else document_count(F.col("results"))
     marks = pages.where(F.col("page").isNotNull()).select(
         *feed,
         "page",
