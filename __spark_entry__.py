@@ -44,7 +44,7 @@ AS_OF = date(2024, 2, 10)
 ALERT_DAY = date(2024, 1, 15)
 ALERT_LIMITS = [(1, 60), (5, 45), (2, 120)]
 WINDOW = ("2024-01-01T00:00:00+00:00", "2024-01-31T00:00:00+00:00")
-COUNTRY = "N7"
+COUNTRY = "N10"
 
 
 def _plain(df: DataFrame) -> DataFrame:
