@@ -14,10 +14,17 @@ from gaugeline.functions.instants import instant_or_now
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:
     """All rows of the newest snapshot; none if there is no snapshot.
 
-    The newest is found by a maximum, so nothing is sorted and no row travels.
+    The newest is one row found by a maximum over narrow columns. It is put into the
+    filter as a literal, which prunes the partitions of all other snapshots.
     """
-    run = F.struct("ingestion_time", "batch_id")
-    return snapshots.where(run.eqNullSafe(snapshots.agg(F.max(run)).scalar()))
+    run = F.max(F.struct("ingestion_time", "batch_id")).alias("run")
+    newest = snapshots.agg(run).first().run
+    if newest is None:
+        return snapshots.where(F.lit(False))
+    return snapshots.where(
+        F.col("batch_id").eqNullSafe(F.lit(newest.batch_id))
+        & F.col("ingestion_time").eqNullSafe(F.lit(newest.ingestion_time))
+    )
 
 
 def _locations(snapshot: DataFrame) -> DataFrame:

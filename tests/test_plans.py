@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from gaugeline import schemas
 from gaugeline.operators import upsert
+from gaugeline.operators.dimensions import latest_snapshot
 from gaugeline.plans import dimensions, facts
+from gaugeline.plans.alert import run_alert
 from gaugeline.sources import catalog
 
 NOW = datetime(2024, 1, 31, 12, 0, tzinfo=timezone.utc)
@@ -187,6 +189,28 @@ def test_fact_lookup_reads_only_the_days_of_the_batch(spark, tables):
     assert len(fact.inputFiles()) == 5 and len(pruned.inputFiles()) == 1
 
 
+def test_latest_snapshot_reads_only_its_own_files(spark, tables, land):
+    for batch_id, run_ts in (("b1", NOW), ("b2", NOW + timedelta(days=1))):
+        path = land(batch_id, [page([location(1, "PT", [10])])])
+        dimensions.run_dimensions(spark, tables, batch_id, run_ts, path)
+    newest = latest_snapshot(spark.table(tables.bronze_locations))
+    assert [r.batch_id for r in newest.collect()] == ["b2"]
+    assert all("batch_id=b2" in f for f in newest.inputFiles())
+
+
+def test_alert_run(spark, tables, land):
+    dimensions.run_dimensions(
+        spark, tables, "d", NOW, land("places", [page([location(1, "PT", [1, 2], name="here")])])
+    )
+    rows = [("a", s, [measurement(NOW, 130.0)]) for s in (1, 2)]
+    catalog.append(bronze_rows(spark, rows), tables.bronze_measurements)
+    facts.run_facts(spark, tables, "", NOW, as_of=AS_OF)
+    found, state = run_alert(spark, tables, AS_OF, [(7, 120)])
+    assert [(r.location_name, r.avg_value) for r in found.collect()] == [("here", 130.0)]
+    assert tuple(state.first()) == (1, "OK")  # one row: both sensors share all its columns
+    assert run_alert(spark, tables, AS_OF)[1].first().state == "OK"
+
+
 def test_gold_keeps_days_outside_the_window(spark, tables):
     old, new = NOW - timedelta(days=90), NOW
     rows = [("a", 1, [measurement(old, 1.0)])]
