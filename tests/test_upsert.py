@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from gaugeline import schemas
-from gaugeline.operators import upsert
+from gaugeline.operators import joins, upsert
 
 SCHEMA = "k int, j int, v string, c string"
 
@@ -39,8 +39,10 @@ def column_differs(t, s):
     return (t("c") != s("c")) & s("c").isNotNull()
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_against_model(spark, seed):
+@pytest.mark.parametrize("seed, hot_rows", [(1, 1_000_000), (2, 2)])
+def test_against_model(spark, monkeypatch, seed, hot_rows):
+    """With and without keys that count as hot; NULL is the hottest."""
+    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
     rnd = random.Random(seed)
     key = lambda: rnd.choice([None, *range(30)])
     text = lambda: rnd.choice([None, "p", "q"])
@@ -53,6 +55,9 @@ def test_against_model(spark, seed):
         if row[:2] not in held or row[:2] not in seen:
             source.append(row)
             seen.add(row[:2])
+    target += [(5, 0, "h", "p")] * 20
+    source = [r for r in source if r[:2] != (5, 0)] + [(5, 0, "i", "q")]
+    source += [(77, 0, "h", "p")] * 20
     t, s = spark.createDataFrame(target, SCHEMA), spark.createDataFrame(source, SCHEMA)
     keys = ["k", "j"]
     assert rows_of(upsert.upsert(t, s, keys)) == model(target, source, True)
@@ -61,7 +66,9 @@ def test_against_model(spark, seed):
     assert rows_of(conditional) == model(target, source, True, differs)
 
 
-def test_several_source_rows_for_one_target_row(spark):
+@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
+def test_several_source_rows_for_one_target_row(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
     t = spark.createDataFrame(
         [(1, 0, "old", "p"), (1, 0, "old", "p"), (2, 0, "old", "p"), (3, 0, "old", None)], SCHEMA
     )
