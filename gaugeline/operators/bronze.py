@@ -43,12 +43,12 @@ def pack_documents(
     group; parts are then cut at exactly ``max_documents``.
     """
     keys = list(keys)
-    rows = documents.select(
-        *keys,
-        # A hash stands in for the key so that NULL keys are counted and split too.
-        F.xxhash64(F.lit(0), *keys).alias("__key"),
-        F.struct(*identity).alias("__id"),
-        document.alias("__doc"),
+    rows = documents.withColumns(
+        {
+            # A hash stands in for the key so that NULL keys are counted and split too.
+            "__key": F.xxhash64(F.lit(0), *keys),
+            "__id": F.struct(*identity),
+        }
     )
     large = (
         rows.groupBy("__key")
@@ -62,12 +62,16 @@ def pack_documents(
     numbered = parted.withColumn(
         "__cut", F.floor((F.row_number().over(order) - 1) / max_documents)
     )
-    packed = F.array_sort(F.collect_list(F.struct("__id", "__doc")))
+    # Documents are built after the shuffle, which so carries their bare columns.
+    texts = numbered.select(
+        *keys, "__part", "__cut", F.struct("__id", F.to_json(document).alias("text")).alias("__doc")
+    )
+    packed = F.transform(F.array_sort(F.collect_list("__doc")), lambda x: x["text"])
     return (
-        numbered.groupBy(*keys, "__part", "__cut")
+        texts.groupBy(*keys, "__part", "__cut")
         .agg(
             F.count("*").cast("int").alias("rows_fetched"),
-            F.to_json(F.transform(packed, lambda x: x["__doc"])).alias("api_payload"),
+            F.concat(F.lit("["), F.array_join(packed, ","), F.lit("]")).alias("api_payload"),
         )
         .drop("__part", "__cut")
     )
