@@ -17,6 +17,7 @@ from gaugeline.sources import catalog, landing
 
 BATCHES_PER_LOAD = 1_000
 BATCH_LOAD = "batch"
+NO_BATCH = "__HIVE_DEFAULT_PARTITION__"  # fixed name of the partition of NULL
 
 
 def measurement_plan(
@@ -70,11 +71,15 @@ def _of_batches(batch_ids: list[str]) -> Column:
 def pending_batches(
     spark: SparkSession, tables: catalog.Tables, limit: int = BATCHES_PER_LOAD
 ) -> list[str]:
-    """Some bronze batches the log does not name; names come from the catalog only."""
+    """Some bronze batches the log does not name; names come from the catalog only.
+
+    Rows without a batch id are no batch.
+    """
     escaped = F.replace(F.substring_index("partition", "batch_id=", -1), F.lit("+"), F.lit("%2B"))
     landed = spark.sql(f"SHOW PARTITIONS {tables.bronze_measurements}").select(
         F.url_decode(escaped).alias("batch_id")
     )
+    landed = landed.where(F.col("batch_id") != NO_BATCH)
     pending = silver.unprocessed_batches(landed, spark.table(tables.batch_log))
     return [r.batch_id for r in pending.orderBy("batch_id").limit(limit).collect()]
 
@@ -126,8 +131,16 @@ def log_batches(batches: DataFrame, tables: catalog.Tables, run_ts: datetime) ->
 def transform_measurements(
     spark: SparkSession, tables: catalog.Tables, run_ts: datetime
 ) -> int:
-    """Load every batch not yet loaded; returns how many there were."""
+    """Load every batch not yet loaded; returns how many there were.
+
+    Bronze rows without a batch id cannot be told from loaded ones, so they are
+    tried every time.
+    """
     loaded = 0
+    unnamed = spark.table(tables.bronze_measurements).where("batch_id IS NULL")
+    if not unnamed.isEmpty():
+        staged = stage(unnamed, tables, BATCH_LOAD, run_ts).where("batch_id IS NULL")
+        append_facts(staged, tables, run_ts)
     while batch_ids := pending_batches(spark, tables):
         chosen = _of_batches(batch_ids)
         rows = spark.table(tables.bronze_measurements).where(chosen)

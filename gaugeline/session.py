@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,13 +26,11 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """The path of a new folder under the shared folder the cluster names.
 
-    Only a local session without that setting gets a folder of this machine.
+    Without that setting it lies below the warehouse, which executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="gaugeline-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     return f"{root.rstrip('/')}/gaugeline/{name}-{uuid.uuid4().hex}"
 
 

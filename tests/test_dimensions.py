@@ -1,6 +1,6 @@
 import json
 
-from gaugeline import schemas
+from gaugeline import schemas, session
 from gaugeline.operators import dimensions
 
 LOCATIONS = [
@@ -55,3 +55,9 @@ def test_latest_snapshot_takes_all_chunks_of_the_newest(spark):
     only = dimensions.latest_snapshot(snapshots(spark, rows[3:]))
     assert [r.batch_id for r in only.collect()] == ["lost"]
     assert dimensions.latest_snapshot(snapshots(spark, [])).count() == 0
+
+
+def test_scratch_folder_follows_the_cluster_setting(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert session.scratch_dir(spark, "x").startswith(f"{shared}/gaugeline/x-")
+    assert session.scratch_dir(spark, "x") != session.scratch_dir(spark, "x")

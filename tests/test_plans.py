@@ -169,6 +169,15 @@ def test_retry_after_a_failed_step(spark, tables, monkeypatch, step):
     assert facts.transform_measurements(spark, tables, NOW) == 0
 
 
+def test_rows_without_batch_id_are_tried_every_time(spark, tables):
+    rows = [(None, 1, [measurement(NOW, 1.0)]), ("a", 2, [measurement(NOW, 2.0)])]
+    catalog.append(bronze_rows(spark, rows), tables.bronze_measurements)
+    assert facts.transform_measurements(spark, tables, NOW) == 1
+    assert facts.transform_measurements(spark, tables, NOW) == 0
+    assert sorted(r.value for r in spark.table(tables.fact).collect()) == [1.0, 2.0]
+    assert spark.table(tables.staging).count() == 2
+
+
 def test_many_batches_load_in_portions(spark, tables, monkeypatch):
     rows = [(f"b{i}", i, [measurement(NOW, float(i))]) for i in range(7)]
     catalog.append(bronze_rows(spark, rows), tables.bronze_measurements)
