@@ -31,14 +31,13 @@ def _known(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def deduplicate(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key, the largest by its other columns; NULL keys are all kept."""
-    others = [c for c in source.columns if c not in keys]
+    others = [c for c in source.columns if c not in keys] or list(keys)
     best = _known(source, keys).groupBy(*keys).agg(F.max(F.struct(*others)).alias("__row"))
     missing = F.lit(False)
     for key in keys:
         missing = missing | F.col(key).isNull()
     return (
-        best.select(*keys, "__row.*")
-        .select(*source.columns)
+        best.select(*[c if c in keys else F.col(f"__row.{c}") for c in source.columns])
         .unionByName(source.where(missing))
     )
 

@@ -25,13 +25,16 @@ def stream_facts(
 ) -> None:
     """Load all bronze files not seen before, then rebuild the daily statistics.
 
-    ``checkpoint`` is a durable folder that belongs to this stream.
+    ``checkpoint`` is a durable folder that belongs to this stream; its name marks the
+    stream's staging rows.
     """
     configure(spark)
     catalog.ensure_all(spark, tables)
 
+    stream = checkpoint.rstrip("/").rsplit("/", 1)[-1]
+
     def load(rows: DataFrame, epoch: int) -> None:
-        staged = facts.stage(rows, tables, f"epoch-{epoch}", run_ts)
+        staged = facts.stage(rows, tables, f"{stream}-{epoch}", run_ts)
         facts.append_facts(staged, tables, run_ts)
         facts.log_batches(rows, tables, run_ts)
 
