@@ -1030,9 +1030,30 @@ def entry(spark: SparkSession) -> DataFrame:
     return daily_stats(configure(spark), SMOKE_DIR)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: _configured(query) for query in _QUERIES}
 
 
+def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the training-data operators, where that subpackage is installed."""
+    try:
+        import corpus_pipeline
+        from gaugeline.llm import queries as numbered
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "gaugeline.llm"):
+            raise
+        return {}, {}
+    found = {query.__name__: _configured(query) for query in numbered.QUERIES}
+    found["pipeline"] = _configured(corpus_pipeline.run)
+    sql = dict(numbered.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return core_queries() | _training_data()[0]
+
+
 def oracle_sql() -> dict[str, str]:
-    return _sql()
+    return _sql() | _training_data()[1]
