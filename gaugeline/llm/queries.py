@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import packing
+from gaugeline.llm import packing, quality
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -21,5 +21,77 @@ def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
-QUERIES = [op1_best_fit_packing]
-ORACLE_SQL: dict[str, str] = {}
+def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judge(_table(spark, sf, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "words_left",
+        "kept",
+    )
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host,
+         coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d
+), triples AS (
+  SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS triple
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)
+), again AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, triple) AS n FROM triples)
+  WHERE n > 1
+), repeats AS (
+  SELECT r, count(DISTINCT pos) AS n_repeat_words
+  FROM (SELECT r, i + unnest([0, 1, 2]) AS pos FROM again) GROUP BY r
+), split AS (
+  SELECT r, host, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS raw_pos
+  FROM (SELECT r, host, string_split(t, chr(10)) AS ls FROM d)
+), lines AS (
+  SELECT r, host, line, row_number() OVER (PARTITION BY r ORDER BY raw_pos) AS pos,
+         regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), dups AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY r
+), placed AS (
+  SELECT r, host, array_to_string(ws, ' ') AS norm, len(ws) AS words, pos,
+         lag(array_to_string(ws, ' ')) OVER (PARTITION BY r ORDER BY pos) AS before,
+         lead(array_to_string(ws, ' ')) OVER (PARTITION BY r ORDER BY pos) AS after
+  FROM lines
+), once AS (
+  SELECT r, host, norm, sum(words) AS words, arg_min(coalesce('<' || before, ''), pos) AS before,
+         arg_min(coalesce('>' || after, ''), pos) AS after
+  FROM placed GROUP BY r, host, norm
+), frequent AS (
+  SELECT host, norm
+  FROM (SELECT host, norm, before, after, count(*) AS docs FROM once GROUP BY ALL)
+  JOIN (SELECT host, count(*) AS host_docs FROM d GROUP BY host) USING (host)
+  GROUP BY host, norm, host_docs
+  HAVING count(*) > 10 AND 2 * count(*) > sum(docs) AND count(*) > 0.01 * host_docs
+), gone AS (
+  SELECT r, sum(words) AS gone FROM once JOIN frequent USING (host, norm) GROUP BY r
+), counted AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+         CAST(len(ws) - coalesce(gone, 0) AS BIGINT) AS words_left
+  FROM d JOIN w USING (r) LEFT JOIN dups USING (r) LEFT JOIN repeats USING (r)
+  LEFT JOIN gone USING (r)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+         AND 100 * words_left >= 50 * n_words AS kept
+FROM counted
+"""
+
+QUERIES = [op1_best_fit_packing, op4_quality_rules]
+ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4_SQL}

@@ -6,13 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeline.llm import packing as best_fit
+from gaugeline.llm import quality
 
 
-def quality_rules(spark, docs, sf_dir):
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules, less the lines their host repeats."""
+    return quality.clean(docs)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     raise NotImplementedError
 
 
-toxicity = near_duplicates = repeated_spans = quality_rules
+near_duplicates = repeated_spans = toxicity
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
