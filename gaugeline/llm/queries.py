@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import packing, quality
+from gaugeline.llm import packing, quality, simhash, spans
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -93,5 +93,18 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM counted
 """
 
-QUERIES = [op1_best_fit_packing, op4_quality_rules]
+def op6_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf, "documents"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return spans.remove_repeats(_table(spark, sf, "documents").select("doc_id", "text"))
+
+
+QUERIES = [
+    op1_best_fit_packing,
+    op4_quality_rules,
+    op6_simhash_near_dedup,
+    op10_substring_dedup,
+]
 ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4_SQL}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeline.llm import packing as best_fit
-from gaugeline.llm import quality
+from gaugeline.llm import quality, simhash, spans
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +18,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     raise NotImplementedError
 
 
-near_duplicates = repeated_spans = toxicity
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return simhash.keep_one(docs)
+
+
+def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents less the passages that an earlier document holds; those left empty go."""
+    return spans.remove_repeats(docs).where("n_removed = 0 or n_chars > 0").drop("n_removed")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
