@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import packing, quality, simhash, spans
+from gaugeline.llm import packing, quality, simhash, spans, stages, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -21,6 +21,12 @@ def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    chain = toxicity.train(docs, _table(spark, sf, "labels"), stages.CATEGORIES)
+    return toxicity.judge(docs.select("doc_id", "text"), chain).drop("text")
+
+
 def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(_table(spark, sf, "documents")).select(
         "doc_id",
@@ -103,6 +109,7 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = [
     op1_best_fit_packing,
+    op3_toxicity,
     op4_quality_rules,
     op6_simhash_near_dedup,
     op10_substring_dedup,

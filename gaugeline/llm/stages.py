@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gaugeline.llm import packing as best_fit
 from gaugeline.llm import quality, simhash, spans
+from gaugeline.llm import toxicity as toxic
+
+# What the labels table knows, in the order of the chain; the last one decides.
+CATEGORIES = {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,7 +20,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents that the chain trained on ``labels`` does not find toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    # Trained on the labelled documents as they were, not as the stage before left them.
+    whole = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    chain = toxic.train(whole, labels, CATEGORIES)
+    return toxic.judge(docs, chain).where("not toxic").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
