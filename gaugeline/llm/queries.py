@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import packing, quality, simhash, spans, stages, toxicity
+from gaugeline.llm import bpe, packing, quality, simhash, spans, stages, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -21,6 +21,16 @@ def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op2_bpe_encode_decode(spark: SparkSession, sf: str) -> DataFrame:
+    encoded = bpe.encode(_table(spark, sf, "documents"), public_tokenizers.path(BYTE_BPE))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     chain = toxicity.train(docs, _table(spark, sf, "labels"), stages.CATEGORIES)
@@ -109,6 +119,7 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = [
     op1_best_fit_packing,
+    op2_bpe_encode_decode,
     op3_toxicity,
     op4_quality_rules,
     op6_simhash_near_dedup,
