@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, packing, quality, simhash, spans, stages, toxicity
+from gaugeline.llm import bpe, extraction, packing, quality, simhash, spans, stages, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -113,6 +113,12 @@ def op6_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    pages = _table(spark, sf, "pages")
+    texts = extraction.extract(pages, extraction.train(pages))
+    return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return spans.remove_repeats(_table(spark, sf, "documents").select("doc_id", "text"))
 
@@ -123,6 +129,7 @@ QUERIES = [
     op3_toxicity,
     op4_quality_rules,
     op6_simhash_near_dedup,
+    op7_html_extraction,
     op10_substring_dedup,
 ]
 ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4_SQL}
