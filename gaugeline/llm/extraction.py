@@ -112,10 +112,13 @@ def blocks(page: str) -> list[Block]:
 
 
 def path_features(path: tuple[tuple[str, str], ...]) -> list[str]:
-    """Tags and name words of the ancestors, and the nearest tag."""
+    """Tags and name words of the ancestors, the nearest tag, and tags in their order."""
     found = {f"in:{tag}" for tag, _ in path}
     found |= {f"name:{w}" for _, named in path for w in NAME_WORD.findall(named)}
-    return sorted(found) + [f"own:{path[-1][0] if path else ''}"]
+    near = [tag for tag, _ in path[-2:]]
+    if not any(named for _, named in path):
+        found.add("bare:" + ">".join(tag for tag, _ in path[-4:]))
+    return sorted(found) + [f"own:{''.join(near[-1:])}", f"pair:{'>'.join(near)}"]
 
 
 def text_features(block: Block, at: int, total: int) -> list[str]:
@@ -173,7 +176,7 @@ class Model:
         return out[::-1]
 
 
-def fit(pages: list[tuple[list[Block], list[bool]]], steps: int = 150, decay: float = 1e-3) -> Model:
+def fit(pages: list[tuple[list[Block], list[bool]]], steps: int = 200, decay: float = 2e-4) -> Model:
     """Maximises the likelihood of the labels (less a small penalty) by Adam."""
     pages = [(p, y) for p, y in pages if p]
     if not pages:
