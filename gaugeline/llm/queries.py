@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, extraction, packing, quality, simhash, spans, stages, toxicity
+from gaugeline.llm import bpe, extraction, packing, quality, simhash, spans, spotsigs, stages, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -119,6 +119,18 @@ def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+def op8_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return spotsigs.edited(_table(spark, sf, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return spans.remove_repeats(_table(spark, sf, "documents").select("doc_id", "text"))
 
@@ -130,6 +142,7 @@ QUERIES = [
     op4_quality_rules,
     op6_simhash_near_dedup,
     op7_html_extraction,
+    op8_document_fingerprints,
     op10_substring_dedup,
 ]
 ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4_SQL}
