@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, extraction, packing, quality, simhash, spans, spotsigs, stages, toxicity
+from gaugeline.llm import bpe, extraction, lm, packing, quality, simhash, spans, spotsigs, stages, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -131,6 +131,10 @@ def op8_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score_corpus(_table(spark, sf, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return spans.remove_repeats(_table(spark, sf, "documents").select("doc_id", "text"))
 
@@ -143,6 +147,7 @@ QUERIES = [
     op6_simhash_near_dedup,
     op7_html_extraction,
     op8_document_fingerprints,
+    op9_lm_scoring,
     op10_substring_dedup,
 ]
 ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4_SQL}
