@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, extraction, lm, packing, quality, simhash, spans, spotsigs, stages, toxicity
+from gaugeline.llm import bpe, chat, extraction, lm, packing, quality, simhash, spans, spotsigs, stages, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -109,6 +109,94 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM counted
 """
 
+# Functions that the users of the conversations are taken to call.
+FUNCTIONS = {
+    "search": {
+        "query": {"kind": "string", "required": True, "longest": 200},
+        "limit": {"kind": "integer", "required": True, "least": 1.0, "most": 20.0},
+    },
+    "summarise": {
+        "text": {"kind": "string", "required": True, "longest": 400},
+        "max_words": {"kind": "integer", "required": True, "least": 1.0, "most": 60.0},
+    },
+}
+
+
+def op5_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    """Each user turn is a call that the turn before last must precede; each assistant turn
+    is the result of the call one turn before it."""
+    turns = _table(spark, sf, "conversations").withColumn("text", F.coalesce("text", F.lit("")))
+    words = F.char_length("text") - F.char_length(F.replace("text", F.lit(" "), F.lit(""))) + 1
+    call_id = lambda back: F.concat_ws("-", "conv_id", F.col("turn") - back)
+    short = words <= 25
+    calls = turns.where("role = 'user'").select(
+        "conv_id",
+        call_id(0).alias("call_id"),
+        "turn",
+        F.when(short, "search").otherwise("summarise").alias("name"),
+        F.when(short, F.to_json(F.struct(F.col("text").alias("query"), words.alias("limit"))))
+        .otherwise(F.to_json(F.struct("text", words.alias("max_words"))))
+        .alias("arguments"),
+        F.array(call_id(2)).alias("needs"),
+    )
+    results = turns.where("role = 'assistant'").select(
+        "conv_id", call_id(1).alias("call_id"), "turn", F.col("text").alias("content")
+    )
+    linked = chat.link(calls, results, chat.schema_table(spark, FUNCTIONS))
+    others = turns.where("coalesce(role, '') not in ('user', 'assistant')")
+    return linked.union(chat.plain_messages(others))
+
+
+OP5_SQL = """
+WITH RECURSIVE t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text,
+         length(coalesce(text, '')) - length(replace(coalesce(text, ''), ' ', '')) + 1 AS words
+  FROM conversations
+), calls AS (
+  SELECT conv_id, conv_id || '-' || turn AS call_id, turn, text, words,
+         conv_id || '-' || (turn - 2) AS needs FROM t WHERE role = 'user'
+), results AS (
+  SELECT conv_id, conv_id || '-' || (turn - 1) AS call_id, turn, text AS content
+  FROM t WHERE role = 'assistant'
+), depth AS (
+  SELECT c.conv_id, c.call_id, 0 AS level FROM calls c
+  WHERE NOT EXISTS (SELECT 1 FROM calls d WHERE d.conv_id = c.conv_id AND d.call_id = c.needs)
+  UNION ALL
+  SELECT c.conv_id, c.call_id, level + 1 FROM depth d
+  JOIN calls c ON c.conv_id = d.conv_id AND c.needs = d.call_id
+), checked AS (
+  SELECT *, CASE WHEN words <= 25 THEN concat_ws(',',
+      CASE WHEN length(text) > 200 THEN NULL END,
+      CASE WHEN length(text) > 200 AND words > 20 THEN 'length:query,range:limit'
+           WHEN length(text) > 200 THEN 'length:query' WHEN words > 20 THEN 'range:limit' END)
+    ELSE concat_ws(',', CASE WHEN length(text) > 400 THEN 'length:text' END,
+                   CASE WHEN words > 60 THEN 'range:max_words' END) END AS found
+  FROM calls
+)
+SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id,
+       coalesce(c.turn, r.turn) AS turn, level,
+       CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'unanswered'
+            ELSE 'linked' END AS status,
+       c.call_id IS NOT NULL AND r.call_id IS NOT NULL AND found = '' AS valid,
+       nullif(found, '') AS errors,
+       CASE WHEN c.call_id IS NULL THEN
+         '{"id":' || to_json(r.call_id) || ',"result":' || to_json(content) || ',"turn":' || r.turn || '}'
+       ELSE '{"arguments":' || CASE WHEN words <= 25
+           THEN '{"limit":' || words || ',"query":' || to_json(text) || '}'
+           ELSE '{"max_words":' || words || ',"text":' || to_json(text) || '}' END
+         || ',"id":' || to_json(c.call_id) || ',"name":"'
+         || CASE WHEN words <= 25 THEN 'search' ELSE 'summarise' END || '","result":'
+         || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || ',"turn":' || c.turn || '}' END AS message
+FROM checked c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+LEFT JOIN depth d ON d.conv_id = c.conv_id AND d.call_id = c.call_id
+UNION ALL
+SELECT conv_id, NULL, turn, 0, 'message', true, NULL,
+       '{"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || ',"text":' || to_json(text)
+       || ',"turn":' || turn || '}'
+FROM t WHERE coalesce(role, '') NOT IN ('user', 'assistant')
+"""
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf, "documents"))
 
@@ -144,10 +232,11 @@ QUERIES = [
     op2_bpe_encode_decode,
     op3_toxicity,
     op4_quality_rules,
+    op5_chat_formatting,
     op6_simhash_near_dedup,
     op7_html_extraction,
     op8_document_fingerprints,
     op9_lm_scoring,
     op10_substring_dedup,
 ]
-ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4_SQL, "op5_chat_formatting": OP5_SQL}
