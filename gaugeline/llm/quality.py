@@ -16,11 +16,12 @@ import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.text import slices
+from gaugeline.llm.text import slices, with_text
 from gaugeline.session import materialise
 
 SYMBOLS = "#*$%&|<>"
@@ -177,25 +178,22 @@ def clean(docs: DataFrame, **limits) -> DataFrame:
         .dropDuplicates([f"_{c}" for c in KEYS])
     )
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-        & (F.coalesce("source", F.lit("")) == F.col("_host"))
-        & (F.xxhash64("text") == F.col("_text_hash"))
+        F.col("row.doc_id").eqNullSafe(F.col("_doc_id"))
+        & (F.coalesce("row.source", F.lit("")) == F.col("_host"))
+        & (F.xxhash64("row.text") == F.col("_text_hash"))
     )
-    kept = docs.join(verdicts, same).drop(*[f"_{c}" for c in KEYS])
-    names, schema = docs.columns, docs.schema
+    # All columns travel as one, so none can clash with those of the verdict.
+    kept = docs.select(F.struct(*docs.columns).alias("row")).join(verdicts, same)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text_at = batch.schema.get_field_index("text")
-            for first, texts in slices(batch.column("text")):
-                part = batch.slice(first, len(texts))
-                removed = part.column("_removed").to_pylist()
-                texts = [without(t, set(r)) if r else t for t, r in zip(texts, removed)]
-                part = part.set_column(text_at, "text", pa.array(texts, part.schema.field("text").type))
-                yield part.select(names)
-
-    out = kept.mapInArrow(run, schema)
-    return out.withColumn("n_chars", F.char_length("text").cast(schema["n_chars"].dataType)) if "n_chars" in names else out
+    @F.pandas_udf("string")
+    def rewritten(texts: pd.Series, removed: pd.Series) -> pd.Series:
+        pairs = zip(texts, removed)
+        return pd.Series([t if r is None else without(t, set(r)) for t, r in pairs], dtype=object)
+
+    text = F.when(F.col("_removed").isNull(), F.col("row.text")).otherwise(
+        rewritten("row.text", "_removed")
+    )
+    return with_text(docs, kept.withColumn("_text", text))
 
 
 def without(text: str, removed: set[int]) -> str:

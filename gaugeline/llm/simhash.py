@@ -279,13 +279,14 @@ def hex16(column: str) -> Column:
     return F.lpad(F.lower(F.hex(column)), 16, "0")
 
 
-def keep_one(docs: DataFrame, size: int = 3) -> DataFrame:
-    """``docs`` with one document of each component, the one of the smallest doc_id.
+def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component of ``groups``, the smallest doc_id's.
 
-    Rows without doc_id cannot be told apart and stay. Rows of one doc_id and different
-    texts are different documents; of rows with the same doc_id and text one stays.
+    ``groups``: (doc_id, component_id), as from ``near_duplicates``. Rows without doc_id
+    cannot be told apart and stay. Rows of one doc_id and different texts are different
+    documents; of rows with the same doc_id and text one stays.
     """
-    groups = materialise(near_duplicates(docs, size).where("doc_id is not null"), "simhash-groups")
+    groups = materialise(groups.select("doc_id", "component_id").where("doc_id is not null"), "simhash-groups")
     first = groups.where("doc_id = component_id").select("doc_id").distinct()
     repeated = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
     kept = docs.join(first, "doc_id", "left_semi")

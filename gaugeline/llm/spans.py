@@ -12,12 +12,13 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.text import slices
+from gaugeline.llm.text import slices, with_text
 from gaugeline.session import materialise
 
 RUN = 3
@@ -142,27 +143,23 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     marked = again.groupBy(
         F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")
     ).agg(F.sort_array(F.collect_set("pos")).alias("_positions"))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_hash"))
-    joined = docs.join(marked, same, "left").drop("_doc_id", "_text_hash")
-    names = docs.columns
-    schema = docs.limit(0).withColumn("n_removed", F.lit(0)).schema
-
-    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text_at = batch.schema.get_field_index("text")
-            for first, texts in slices(batch.column("text")):
-                part = batch.slice(first, len(texts))
-                positions = part.column("_positions").to_pylist()
-                kept = part.column("text").to_pylist()
-                removed = [0] * len(texts)
-                for at, found in enumerate(positions):
-                    if found:
-                        kept[at], removed[at] = without(texts[at], found)
-                kind = part.schema.field("text").type
-                part = part.set_column(text_at, "text", pa.array(kept, kind)).select(names)
-                yield part.append_column("n_removed", pa.array(removed, pa.int32()))
-
-    out = joined.mapInArrow(rewrite, schema)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out
+    same = F.col("row.doc_id").eqNullSafe(F.col("_doc_id")) & (
+        F.xxhash64("row.text") == F.col("_text_hash")
+    )
+    # All columns travel as one, so none can clash with those of the marks.
+    joined = docs.select(F.struct(*docs.columns).alias("row")).join(marked, same, "left")
+
+    @F.pandas_udf("text string, n_removed int")
+    def rewritten(texts: pd.Series, positions: pd.Series) -> pd.DataFrame:
+        done = [(t, 0) if p is None else without(t, list(p)) for t, p in zip(texts, positions)]
+        return pd.DataFrame(done, columns=["text", "n_removed"])
+
+    marks = F.col("_positions").isNotNull()
+    done = joined.withColumn("_done", rewritten("row.text", "_positions"))
+    return with_text(
+        docs,
+        done.withColumn("_text", F.when(marks, F.col("_done.text")).otherwise(F.col("row.text"))).withColumn(
+            "n_removed", F.when(marks, F.col("_done.n_removed")).otherwise(0)
+        ),
+        "n_removed",
+    )

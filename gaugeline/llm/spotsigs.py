@@ -76,10 +76,9 @@ def likeness(a: str, b: str) -> Column:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``signatures``; a missing text counts as empty."""
-    names = [c for c in docs.columns if c != "signatures"]
-    filled = docs.select(*names).withColumn("_filled", text_or_empty())
-    return _with_signatures(filled, "_filled", "signatures").drop("_filled")
+    """(doc_id, signatures) for every row of ``docs``; a missing text counts as empty."""
+    filled = docs.select("doc_id", text_or_empty().alias("text"))
+    return _with_signatures(filled, "text", "signatures").drop("text")
 
 
 def neighbours(docs: DataFrame, bucket_rows: int = 20_000) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm import packing as best_fit
-from gaugeline.llm import quality, simhash, spans
+from gaugeline.llm import quality, simhash, simhash_wide, spans
 from gaugeline.llm import toxicity as toxic
 
 # What the labels table knows, in the order of the chain; the last one decides.
@@ -29,8 +29,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return simhash.keep_one(docs)
+    """One document of each group of near duplicates, by runs of five words."""
+    return simhash.keep_one(docs, simhash_wide.near_duplicates(docs))
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

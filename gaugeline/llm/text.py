@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,20 +40,17 @@ def slices(column: pa.ChunkedArray | pa.Array, chars: int = 4_000_000) -> Iterat
         yield start, held
 
 
-def keyed(df: DataFrame, name: str = "_row") -> DataFrame:
-    """``df`` with a row number that tells repeated rows apart.
+def with_text(docs: DataFrame, packed: DataFrame, *more: str) -> DataFrame:
+    """The columns of ``docs`` from ``packed.row``, text from ``packed._text``, and ``more``.
 
-    Callers write the result once and read it back before they use the key twice.
+    ``n_chars``, where present, follows the text.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    taken = {"text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        taken["n_chars"] = F.char_length("_text").cast(docs.schema["n_chars"].dataType)
+    own = [taken.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns if c not in more]
+    return packed.select(*own, *more)
 
 
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
-
-
-def offsets_of(lengths: np.ndarray) -> np.ndarray:
-    """Start of every run and the end of the last one."""
-    out = np.zeros(len(lengths) + 1, np.int64)
-    np.cumsum(lengths, out=out[1:])
-    return out
