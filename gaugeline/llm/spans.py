@@ -34,12 +34,15 @@ def _cuts(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
     """Parts of a long sentence: a cut follows a word whose hash is a multiple of 8."""
     since, first = 0, start
     for word in WORD.finditer(text, start, end):
+        if not since:
+            first = word.start()
         since += 1
         chosen = since >= SHORTEST and xxhash.xxh32_intdigest(word[0].lower()) % 8 == 0
         if (chosen or since == LONGEST) and word.end() < end:
             yield first, word.end()
-            since, first = 0, word.end()
-    yield first, end
+            since = 0
+    if since:
+        yield first, end
 
 
 def sentences(text: str) -> tuple[list[tuple[int, int]], list[int], list[int]]:

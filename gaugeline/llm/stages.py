@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gaugeline.llm import packing as best_fit
 from gaugeline.llm import quality, simhash, simhash_wide, spans
 from gaugeline.llm import toxicity as toxic
 
 # What the labels table knows, in the order of the chain; the last one decides.
-CATEGORIES = {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

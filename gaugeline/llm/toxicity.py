@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.llm.text import slices
@@ -71,7 +71,7 @@ def fit_linear(
 ) -> Linear:
     """L1 logistic regression by accelerated proximal steps on the most telling features."""
     n, positives = len(rows), labels.sum()
-    rate = (positives + 0.5) / (n + 1)
+    rate = (positives + 0.5) / (n + 2)
     model = Linear(float(np.log(rate / (1 - rate))), {}, [0.0] * before.shape[1])
     if not 0 < positives < n:
         return model
@@ -145,7 +145,10 @@ def fit_chain(rows: list[np.ndarray], labels: np.ndarray, folds: np.ndarray, cat
 
 
 def best_threshold(odds: np.ndarray, label: np.ndarray) -> float:
-    """The probability that parts the labels best, half way (in log odds) between its neighbours."""
+    """The probability that parts the labels best, half way (in log odds) between its neighbours.
+
+    It stays from 0.3 to 0.7: beyond, it would rest on a few rows.
+    """
     order = np.argsort(odds, kind="stable")
     odds, label = odds[order], label[order]
     right = np.concatenate([[0], np.cumsum(1 - label)]) + np.concatenate(
@@ -154,19 +157,19 @@ def best_threshold(odds: np.ndarray, label: np.ndarray) -> float:
     edges = np.concatenate([odds[:1] - 1, odds, odds[-1:] + 1])
     middle = (edges[1:] + edges[:-1]) / 2
     best = np.flatnonzero(right == right.max())
-    return float(_sigmoid(middle[best[len(best) // 2]]))
+    return float(np.clip(_sigmoid(middle[best[len(best) // 2]]), 0.3, 0.7))
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, categories: dict[str, Column], sample_rows: int = 6000
+    docs: DataFrame, labels: DataFrame, categories: dict[str, str], sample_rows: int = 6000
 ) -> Chain:
-    """A chain over ``categories`` (name to a condition on a row of ``labels``), in order.
+    """A chain over ``categories`` (name to an SQL condition on ``labels``), in order.
 
     Rows without doc_id, or whose document is missing, or for which a category is unknown
     are left out. Without any row no text is toxic.
     """
     names = list(categories)
-    known = labels.select("doc_id", *[c.cast("double").alias(f"_{n}") for n, c in categories.items()])
+    known = labels.select("doc_id", *[F.expr(c).cast("double").alias(f"_{n}") for n, c in categories.items()])
     chosen = known.dropna().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
