@@ -163,8 +163,8 @@ def test_model_is_a_distribution(spark):
     group, place = known.map.group[codes], known.map.place[codes]
     log, _ = net.predict(np.repeat(first, len(codes), 0), group, place, None)
     total = np.exp(log + known.share[codes]).sum()
-    forms = len(known.codes) + np.arange(32)
-    log, _ = net.predict(np.repeat(first, 32, 0), known.map.group[forms], known.map.place[forms], None)
+    forms = len(known.codes) + np.arange(lm.FORMS)
+    log, _ = net.predict(np.repeat(first, lm.FORMS, 0), known.map.group[forms], known.map.place[forms], None)
     assert total + np.exp(log).sum() == pytest.approx(1, abs=1e-4)
 
 
