@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline import schemas
 from gaugeline.functions.instants import day_or_today, instant_or_now, iso_offset
 from gaugeline.functions.values import DEFAULT_COUNTRY
 from gaugeline.operators import bronze, daily, planning, silver, upsert
@@ -15,9 +15,8 @@ from gaugeline.operators.joins import lookup_join
 from gaugeline.session import configure, materialise
 from gaugeline.sources import catalog, landing
 
-BATCHES_PER_LOAD = 1_000
 BATCH_LOAD = "batch"
-NO_BATCH = "__HIVE_DEFAULT_PARTITION__"  # fixed name of the partition of NULL
+UNNAMED_LOAD = "unnamed"
 
 
 def measurement_plan(
@@ -64,92 +63,116 @@ def ingest_measurements(
     catalog.append(rows, tables.bronze_measurements)
 
 
-def _of_batches(batch_ids: list[str]) -> Column:
-    return F.col("batch_id").isin(batch_ids)
+def _pending(spark: SparkSession, tables: catalog.Tables) -> DataFrame:
+    """Names of the bronze batches that the log does not name.
 
+    Only the partition column is read. Rows without a batch id are no batch.
+    """
+    landed = silver.distinct_batches(spark.table(tables.bronze_measurements)).dropna()
+    return silver.unprocessed_batches(landed, spark.table(tables.batch_log))
 
-def pending_batches(
-    spark: SparkSession, tables: catalog.Tables, limit: int = BATCHES_PER_LOAD
-) -> list[str]:
-    """Some bronze batches the log does not name; names come from the catalog only.
 
-    Rows without a batch id are no batch.
-    """
-    escaped = F.replace(F.substring_index("partition", "batch_id=", -1), F.lit("+"), F.lit("%2B"))
-    landed = spark.sql(f"SHOW PARTITIONS {tables.bronze_measurements}").select(
-        F.url_decode(escaped).alias("batch_id")
-    )
-    landed = landed.where(F.col("batch_id") != NO_BATCH)
-    pending = silver.unprocessed_batches(landed, spark.table(tables.batch_log))
-    return [r.batch_id for r in pending.orderBy("batch_id").limit(limit).collect()]
+def pending_batches(spark: SparkSession, tables: catalog.Tables) -> list[str]:
+    return sorted(r.batch_id for r in _pending(spark, tables).collect())
 
 
 def stage(rows: DataFrame, tables: catalog.Tables, load_id: str, run_ts: datetime) -> DataFrame:
-    """Write staging rows once and read them back.
+    """Write the staging rows of a load once and read them back.
 
-    A repeated load replaces its own partitions, so a retry leaves no second copy.
+    Rows without a batch id have one place, replaced whenever they are tried again.
     """
-    staged = silver.explode_batches(rows, run_ts).withColumn(catalog.LOAD_ID, F.lit(load_id))
-    catalog.replace_partitions(staged, tables.staging)
-    written = rows.sparkSession.table(tables.staging)
-    return written.where(F.col(catalog.LOAD_ID) == load_id)
+    unnamed = F.col("batch_id").isNull()
+    staged = silver.explode_batches(rows, run_ts).withColumn(
+        catalog.LOAD_ID, F.when(unnamed, UNNAMED_LOAD).otherwise(load_id)
+    )
+    catalog.replace_partitions(staged.hint("rebalance", "batch_id"), tables.staging)
+    own = F.col(catalog.LOAD_ID) == load_id
+    if not rows.where(unnamed).isEmpty():
+        own = own | (F.col(catalog.LOAD_ID) == UNNAMED_LOAD)
+    return rows.sparkSession.table(tables.staging).where(own)
 
 
 def append_facts(
-    staged: DataFrame,
-    tables: catalog.Tables,
-    run_ts: datetime,
-    written_batches: list[str] | None = None,
+    staged: DataFrame, tables: catalog.Tables, run_ts: datetime, load_id: str
 ) -> None:
-    """Append the readings the fact lacks, looking only at the days they fall on.
-
-    ``written_batches`` names batches that came whole: those the fact already holds
-    were written by a run that stopped before logging them and are left out.
-    """
+    """Append the readings the fact lacks, looking only at the days they fall on."""
     spark = staged.sparkSession
     day = F.to_date("measurement_datetime_from_utc")
     incoming = silver.to_fact(staged, run_ts).withColumn(catalog.FACT_DAY, day)
     on_days = upsert.values_filter(incoming, catalog.FACT_DAY)
-    fact = spark.table(tables.fact)
-    if written_batches:
-        held = fact.where(on_days | F.col(catalog.FACT_DAY).isNull())
-        held = held.where(_of_batches(written_batches))
-        incoming = silver.unprocessed_batches(incoming, held)
-    fresh = upsert.new_readings(fact.where(on_days), incoming)
+    fresh = upsert.new_readings(spark.table(tables.fact).where(on_days), incoming)
     # Evens out file sizes, also of a day that holds most rows.
-    layout = fresh.hint("rebalance", catalog.FACT_DAY)
+    layout = fresh.withColumn(catalog.LOAD_ID, F.lit(load_id)).hint("rebalance", catalog.FACT_DAY)
     catalog.append(
         layout.sortWithinPartitions(catalog.FACT_DAY, "sensor_id", "parameter_id"), tables.fact
     )
 
 
-def log_batches(batches: DataFrame, tables: catalog.Tables, run_ts: datetime) -> None:
-    logged = silver.distinct_batches(batches).withColumn("processed_at", instant_or_now(run_ts))
-    catalog.append(logged, tables.batch_log)
+def log_batches(
+    batches: DataFrame, tables: catalog.Tables, run_ts: datetime, load_id: str
+) -> None:
+    """The commit of a load, one small file: its batches, and one row without batch."""
+    spark = batches.sparkSession
+    none = spark.range(1).select(F.lit(None).cast("string").alias("batch_id"))
+    named = silver.distinct_batches(batches).dropna().union(none)
+    logged = named.withColumns(
+        {"processed_at": instant_or_now(run_ts), catalog.LOAD_ID: F.lit(load_id)}
+    )
+    catalog.append(logged.coalesce(1), tables.batch_log)
+
+
+def _note(spark: SparkSession, tables: catalog.Tables, load_id: str, state: str) -> None:
+    row = spark.range(1).select(
+        F.lit(load_id).alias(catalog.LOAD_ID),
+        F.lit(state).alias("state"),
+        F.current_timestamp().alias("noted_at"),
+    )
+    catalog.append(row, tables.load_starts)
+
+
+def undo_unfinished(spark: SparkSession, tables: catalog.Tables) -> None:
+    """Drop what loads wrote that started and were never committed, in whole or in part."""
+    starts = spark.table(tables.load_starts)
+    settled = starts.where("state = 'undone'").select(catalog.LOAD_ID)
+    settled = settled.union(spark.table(tables.batch_log).select(catalog.LOAD_ID))
+    open_loads = starts.select(catalog.LOAD_ID).distinct().join(settled, catalog.LOAD_ID, "left_anti")
+    for row in open_loads.collect():  # failed loads since the last run
+        for table in (tables.fact, tables.staging):
+            catalog.drop_load(spark, table, row[catalog.LOAD_ID])
+        _note(spark, tables, row[catalog.LOAD_ID], "undone")
+
+
+def load_batches(rows: DataFrame, tables: catalog.Tables, load_id: str, run_ts: datetime) -> None:
+    """One load: note its start, stage, append, commit. A load that stops is undone later."""
+    _note(rows.sparkSession, tables, load_id, "started")
+    staged = stage(rows, tables, load_id, run_ts)
+    append_facts(staged, tables, run_ts, load_id)
+    log_batches(rows.select("batch_id"), tables, run_ts, load_id)
 
 
 def transform_measurements(
     spark: SparkSession, tables: catalog.Tables, run_ts: datetime
 ) -> int:
-    """Load every batch not yet loaded; returns how many there were.
+    """Load every batch not yet loaded, all in one load; returns how many there were.
 
     Bronze rows without a batch id cannot be told from loaded ones, so they are
     tried every time.
     """
-    loaded = 0
-    unnamed = spark.table(tables.bronze_measurements).where("batch_id IS NULL")
+    undo_unfinished(spark, tables)
+    bronze_rows = spark.table(tables.bronze_measurements)
+    pending = materialise(_pending(spark, tables), "pending")
+    count = pending.count()
+    chosen = upsert.values_filter(pending, "batch_id")
+    rows = bronze_rows.where(chosen)
+    if count > upsert.MAX_PRUNE_VALUES:  # the filter is a range then
+        rows = lookup_join(rows, pending, ["batch_id"], "left_semi")
+    unnamed = bronze_rows.where("batch_id IS NULL")
     if not unnamed.isEmpty():
-        staged = stage(unnamed, tables, BATCH_LOAD, run_ts).where("batch_id IS NULL")
-        append_facts(staged, tables, run_ts)
-    while batch_ids := pending_batches(spark, tables):
-        chosen = _of_batches(batch_ids)
-        rows = spark.table(tables.bronze_measurements).where(chosen)
-        staged = stage(rows, tables, BATCH_LOAD, run_ts).where(chosen)
-        append_facts(staged, tables, run_ts, batch_ids)
-        named = spark.range(1).select(F.explode(F.lit(batch_ids)).alias("batch_id"))
-        log_batches(named, tables, run_ts)
-        loaded += len(batch_ids)
-    return loaded
+        rows = rows.unionByName(unnamed)
+    elif not count:
+        return 0
+    load_batches(rows, tables, f"{BATCH_LOAD}-{uuid.uuid4().hex}", run_ts)
+    return count
 
 
 def build_daily(

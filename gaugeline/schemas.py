@@ -106,7 +106,8 @@ DAILY = _schema(
 LIMITS = _schema("parameter_id int, max_limit int")
 
 # Batches already transformed, also those that added no fact row.
-BATCH_LOG = _schema("batch_id string, processed_at timestamp")
+BATCH_LOG = _schema("batch_id string, processed_at timestamp, load_id string")
+LOAD_STARTS = _schema("load_id string, state string, noted_at timestamp")
 
 # --- logical keys -------------------------------------------------------------------
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -24,7 +25,7 @@ LOAD_ID = "load_id"
 class Tables:
     """Names of the tables of one database."""
 
-    database: str = "airq"
+    database: str = "sensors"
 
     def _name(self, table: str) -> str:
         return f"{self.database}.{table}"
@@ -61,6 +62,10 @@ class Tables:
     def batch_log(self) -> str:
         return self._name("processed_batches")
 
+    @property
+    def load_starts(self) -> str:
+        return self._name("load_starts")
+
 
 def ensure_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -101,11 +106,15 @@ def ensure_all(spark: SparkSession, tables: Tables) -> None:
     ensure_table(
         spark,
         tables.fact,
-        T.StructType(schemas.FACT.fields + [T.StructField(FACT_DAY, T.DateType())]),
-        [FACT_DAY],
+        T.StructType(
+            schemas.FACT.fields
+            + [T.StructField(FACT_DAY, T.DateType()), T.StructField(LOAD_ID, T.StringType())]
+        ),
+        [FACT_DAY, LOAD_ID],
     )
     ensure_table(spark, tables.daily, schemas.DAILY, ["day_start"])
     ensure_table(spark, tables.batch_log, schemas.BATCH_LOG)
+    ensure_table(spark, tables.load_starts, schemas.LOAD_STARTS)
     refresh(spark, tables)
 
 
@@ -120,6 +129,7 @@ def refresh(spark: SparkSession, tables: Tables) -> None:
         tables.fact,
         tables.daily,
         tables.batch_log,
+        tables.load_starts,
     ):
         spark.catalog.refreshTable(table)
 
@@ -136,6 +146,27 @@ def replace_partitions(df: DataFrame, table: str) -> None:
     df.select(*target.columns).write.mode("overwrite").insertInto(table)
 
 
+def drop_load(spark: SparkSession, table: str, load_id: str) -> None:
+    """Drop the partitions one load wrote."""
+    quoted = load_id.replace("'", "\\'")
+    found = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({LOAD_ID}='{quoted}')").collect()
+    for row in found:  # the days or batches of one load
+        parts = dict(part.split("=", 1) for part in row.partition.split("/"))
+        spec = ", ".join(f"{k}={_partition_literal(v)}" for k, v in parts.items())
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+
+
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed name of the partition of NULL
+
+
+def _partition_literal(name: str) -> str:
+    """An SQL literal of a partition value as the catalog writes it."""
+    if name == NO_VALUE:
+        return "NULL"
+    value = unquote(name).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{value}'"
+
+
 def publish(df: DataFrame, table: str) -> None:
     """Replace a whole table: write a new folder, then point the table at it.
 
@@ -143,7 +174,7 @@ def publish(df: DataFrame, table: str) -> None:
     earlier folder is left for readers still on it.
     """
     spark = df.sparkSession
-    database, name = table.split(".")
+    database, name = table.rsplit(".", 1)
     home = spark.catalog.getDatabase(database).locationUri.rstrip("/")
     version = f"{home}/{name}__{uuid.uuid4().hex}"
     df.select(*spark.table(table).columns).write.parquet(version)

@@ -6,10 +6,13 @@ loaded whole. There is no watermark: late readings are accepted at any age.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gaugeline.operators import silver
 from gaugeline.plans import facts
 from gaugeline.session import configure
 from gaugeline.sources import catalog
@@ -26,7 +29,8 @@ def stream_facts(
     """Load all bronze files not seen before, then rebuild the daily statistics.
 
     ``checkpoint`` is a durable folder that belongs to this stream; its name marks the
-    stream's staging rows.
+    stream's loads. ``files_per_trigger`` bounds a micro-batch; readings of one batch
+    that fall into several are de-duplicated against each other, as if they were batches.
     """
     configure(spark)
     catalog.ensure_all(spark, tables)
@@ -34,9 +38,18 @@ def stream_facts(
     stream = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
     def load(rows: DataFrame, epoch: int) -> None:
-        staged = facts.stage(rows, tables, f"{stream}-{epoch}", run_ts)
-        facts.append_facts(staged, tables, run_ts)
-        facts.log_batches(rows, tables, run_ts)
+        """One commit an epoch: a replay undoes what a stopped attempt left, or does nothing."""
+        session = rows.sparkSession
+        catalog.refresh(session, tables)
+        facts.undo_unfinished(session, tables)
+        log = session.table(tables.batch_log)
+        own = F.startswith(F.col(catalog.LOAD_ID), F.lit(f"{stream}@"))
+        this = F.startswith(F.col(catalog.LOAD_ID), F.lit(f"{stream}@{epoch}@"))
+        if not log.where(this).isEmpty():
+            return
+        # Batches that other loads brought are done; a batch of this stream may go on.
+        fresh = silver.unprocessed_batches(rows, log.where(~own))
+        facts.load_batches(fresh, tables, f"{stream}@{epoch}@{uuid.uuid4().hex}", run_ts)
 
     reader = spark.readStream
     if files_per_trigger is not None:

@@ -45,7 +45,7 @@ def page(results, number=1, **feed):
     return {**feed, "page": number, "status": 200, "results": results}
 
 
-def contents(spark, table, drop=()):
+def contents(spark, table, drop=("load_id",)):
     return Counter(map(tuple, spark.table(table).drop(*drop).collect()))
 
 
@@ -178,13 +178,31 @@ def test_rows_without_batch_id_are_tried_every_time(spark, tables):
     assert spark.table(tables.staging).count() == 2
 
 
-def test_many_batches_load_in_portions(spark, tables, monkeypatch):
-    rows = [(f"b{i}", i, [measurement(NOW, float(i))]) for i in range(7)]
+def test_overlapping_batches_of_one_run_keep_their_copies(spark, tables, monkeypatch):
+    """Whatever the number of pending batches: one load, also where the filter is a range."""
+    docs = [measurement(NOW, 1.0), measurement(NOW - timedelta(hours=1), 2.0)]
+    rows = [(f"b{i}", 1, docs) for i in range(7)]
     catalog.append(bronze_rows(spark, rows), tables.bronze_measurements)
-    portion = facts.pending_batches
-    monkeypatch.setattr(facts, "pending_batches", lambda s, t: portion(s, t, limit=3))
+    monkeypatch.setattr(upsert, "MAX_PRUNE_VALUES", 3)
     assert facts.transform_measurements(spark, tables, NOW) == 7
-    assert spark.table(tables.fact).count() == 7
+    assert spark.table(tables.fact).count() == 14
+    assert spark.table(tables.batch_log).where("batch_id IS NULL").count() == 1
+
+
+def test_half_an_append_is_undone(spark, tables):
+    """Part of a batch's rows in the fact, not committed: the batch is loaded whole."""
+    docs = [measurement(NOW - timedelta(hours=h), float(h)) for h in range(10)]
+    undated = {**measurement(NOW, 3.0), "period": None}
+    rows = bronze_rows(spark, [("a b/c+d%", 1, [*docs, undated])])
+    catalog.append(rows, tables.bronze_measurements)
+    facts._note(spark, tables, "lost", "started")
+    staged = facts.stage(spark.table(tables.bronze_measurements), tables, "lost", NOW)
+    facts.append_facts(staged.where("value < 5"), tables, NOW, "lost")
+    assert spark.table(tables.fact).count() == 6
+    assert facts.transform_measurements(spark, tables, NOW) == 1
+    assert spark.table(tables.fact).count() == 11
+    assert spark.table(tables.staging).count() == 11
+    assert facts.transform_measurements(spark, tables, NOW) == 0
 
 
 def test_fact_lookup_reads_only_the_days_of_the_batch(spark, tables):

@@ -1,5 +1,6 @@
 from datetime import timedelta
 
+import pytest
 from test_plans import AS_OF, NOW, bronze_rows, contents, measurement
 
 from gaugeline.plans import facts
@@ -26,3 +27,23 @@ def test_stream_equals_batch(spark, tables, tmp_path):
     assert spark.table(tables.staging).count() == 65
     assert facts.pending_batches(spark, tables) == []
     spark.sql(f"DROP DATABASE {other.database} CASCADE")
+
+
+def test_stream_after_batch_runs_and_a_replayed_batch(spark, tables, tmp_path, monkeypatch):
+    """Readings with a NULL key come once, and each batch is logged once."""
+    undated = {**measurement(NOW, 3.0), "period": None}
+    catalog.append(bronze_rows(spark, [("a", 1, [undated])]), tables.bronze_measurements)
+    facts.run_facts(spark, tables, "", NOW, as_of=AS_OF)
+    catalog.append(bronze_rows(spark, [("b", 1, [undated])]), tables.bronze_measurements)
+
+    def fail(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(facts, "log_batches", fail)
+        with pytest.raises(Exception, match="lost"):
+            stream_facts(spark, tables, str(tmp_path / "stream"), NOW, AS_OF)
+    stream_facts(spark, tables, str(tmp_path / "stream"), NOW, AS_OF)
+    assert spark.table(tables.fact).count() == 2
+    logged = spark.table(tables.batch_log).dropna(subset=["batch_id"]).collect()
+    assert sorted(r.batch_id for r in logged) == ["a", "b"]
