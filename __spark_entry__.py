@@ -29,6 +29,7 @@ from gaugeline.operators import (  # noqa: E402
 )
 from gaugeline.plans import dimensions as dimension_plan  # noqa: E402
 from gaugeline.plans import facts as fact_plan  # noqa: E402
+from gaugeline.plans.alert import run_alert  # noqa: E402
 from gaugeline.session import configure, materialise, scratch_dir  # noqa: E402
 from gaugeline.sources import catalog, landing, limits  # noqa: E402
 from gaugeline.streaming.facts import stream_facts  # noqa: E402
@@ -38,6 +39,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # Clocks and ids are arguments everywhere; these are the ones the queries use.
 RUN_TS = datetime(2024, 2, 1, 6, 30, 0, 250000, tzinfo=timezone.utc)
 FIRST_RUN_TS = datetime(2024, 1, 16, 0, 0, tzinfo=timezone.utc)
+SECOND_RUN_TS = datetime(2024, 1, 16, 12, 0, tzinfo=timezone.utc)
 OVERLAP_FROM = datetime(2024, 1, 10, 0, 0, tzinfo=timezone.utc)
 PLAN_TS = datetime(2024, 1, 31, 0, 0, tzinfo=timezone.utc)
 AS_OF = date(2024, 2, 10)
@@ -138,6 +140,32 @@ def page_prefix(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def page_prefix_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """Two requests for each user, told apart by the kind of event; pages as above."""
+    pages = (
+        sample.table(spark, sf, "events")
+        .withColumn("request", F.when(F.col("event_type") < "d", "a").otherwise("b"))
+        .groupBy("request", "user_id", (F.dayofmonth("ts") % 4 + 1).alias("page"))
+        .agg(
+            F.count("*").alias("documents"),
+            F.when(F.max("value") > 300, 500).otherwise(200).alias("status"),
+        )
+    )
+    return landing.page_prefix(pages, ["request", "user_id"], page_limit=2).select(
+        "request", "user_id", "page", "documents"
+    )
+
+
+def bronze_pack_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Packing into rows of two documents; the documents unpacked again."""
+    packed = bronze.pack_documents(
+        sample.readings(spark, sf), ["location_id"], ["event_id"], sample.measurement_document(), 2
+    )
+    document = F.explode(F.from_json("api_payload", "array<string>")).alias("document")
+    fits = (F.col("rows_fetched") <= 2).alias("fits")
+    return packed.select("location_id", fits, document)
+
+
 def values_limits(spark: SparkSession, sf: str) -> DataFrame:
     """Inline constants against the readings: how many there are and exceed them."""
     joined = sample.events(spark, sf).join(limits.limits(spark), "parameter_id", "inner")
@@ -514,29 +542,104 @@ def alert_state(spark: SparkSession, sf: str) -> DataFrame:
 # --- whole runs over catalog tables ----------------------------------------------------------
 
 
-def dimensions_run(spark: SparkSession, sf: str) -> DataFrame:
-    """Two snapshots land one after the other; the location dimension after both."""
+def _dimension_tables(spark: SparkSession, sf: str) -> catalog.Tables:
+    """Two weekly snapshots land in one folder and are ingested one after the other."""
     configure(spark)
-    tables = _tables(spark)
+    tables, path = _tables(spark), scratch_dir(spark, "weekly")
     runs = [("snap-1", FIRST_RUN_TS, FIRST_RUN_TS), ("snap-2", RUN_TS, None)]
+    number = F.floor(F.col("location_id") / landing.PAGE_LIMIT).cast("int") + 1
     for batch_id, run_ts, until in runs:
-        documents = sample.location_documents(spark, sf, until)
-        path = scratch_dir(spark, batch_id)
-        # One page holds up to 1000 locations; the customers of a nation fit.
-        pages = bronze.pack_documents(
-            documents.withColumn("page", F.col("nation") + 1),
-            ["page"],
-            ["location_id"],
-            F.col("document"),
-        )
-        sample.land(pages, path)
-        catalog.ensure_all(spark, tables)
-        rows = bronze.stamp_locations(
-            bronze.pack_pages(landing.read_location_pages(spark, path)), batch_id, run_ts
-        )
-        catalog.append(rows, tables.bronze_locations)
-        dimension_plan.run_dimensions(spark, tables, batch_id, run_ts)
-    return _plain(spark.table(tables.dim_locations))
+        documents = sample.location_documents(spark, sf, until).withColumn("page", number)
+        pages = bronze.pack_documents(documents, ["page"], ["location_id"], F.col("document"))
+        sample.land(pages, path, batch_id)
+        dimension_plan.run_dimensions(spark, tables, batch_id, run_ts, path)
+    return tables
+
+
+def dimensions_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The location dimension after two snapshots."""
+    return _plain(spark.table(_dimension_tables(spark, sf).dim_locations))
+
+
+def dimensions_run_sensors(spark: SparkSession, sf: str) -> DataFrame:
+    """The sensor dimension after two snapshots."""
+    return _plain(spark.table(_dimension_tables(spark, sf).dim_sensors))
+
+
+def _ingested(spark: SparkSession, sf: str) -> catalog.Tables:
+    """Two runs of all countries over pages of every sensor; some requests fail."""
+    tables, path = _dimension_tables(spark, sf), scratch_dir(spark, "readings")
+    failed = (F.col("parameter_id") == 2) & (F.col("location_id") % 3 == 0)
+    documents = sample.events(spark, sf).withColumns(
+        {"page": F.lit(1), "status": F.when(failed, 500).otherwise(200)}
+    )
+    pages = bronze.pack_documents(
+        documents, ["sensor_id", "page", "status"], ["event_id"], sample.measurement_document()
+    )
+    for batch_id, run_ts in (("m-1", FIRST_RUN_TS), ("m-2", SECOND_RUN_TS)):
+        sample.land(pages, path, batch_id)
+        fact_plan.run_facts(spark, tables, batch_id, run_ts, path, None, AS_OF)
+    return tables
+
+
+def ingest_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed pages to bronze: plan, page prefix and window, in two runs."""
+    rows = spark.table(_ingested(spark, sf).bronze_measurements)
+    items = rows.withColumn("item", F.explode(F.from_json("api_payload", schemas.MEASUREMENT_ITEMS)))
+    return items.select(
+        "batch_id",
+        "sensor_id",
+        "country_code",
+        "ingestion_window_datetime_from",
+        F.col("item.value").alias("value"),
+        F.col("item.period.datetimeFrom.utc").alias("from_utc"),
+    )
+
+
+def run_log(spark: SparkSession, sf: str) -> DataFrame:
+    """What two runs logged for every country, windows without data among them."""
+    log = spark.table(_ingested(spark, sf).run_log).where("kind = 'ingest'")
+    return log.select(
+        "run_id", "country_code", "ingestion_window_datetime_to", "bronze_rows", "documents"
+    )
+
+
+def backlog_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch for each day, each with the day after as well, all pending at once."""
+    configure(spark)
+    tables = _tables(spark)
+    catalog.ensure_all(spark, tables)
+    day = F.dayofmonth("at")
+    documents = sample.readings(spark, sf).withColumn(
+        "batch_day", F.explode(F.array(day, F.greatest(day - 1, F.lit(1))))
+    )
+    keys = ["batch_day", "sensor_id", "parameter_id", "location_id", "country_code"]
+    packed = bronze.pack_documents(documents, keys, ["event_id"], sample.measurement_document())
+    window = [F.lit(text) for text in WINDOW]
+    rows = bronze.stamp_measurements(packed, "", RUN_TS, *window).drop("batch_id")
+    named = packed.select(
+        "sensor_id", "api_payload", F.concat(F.lit("day-"), "batch_day").alias("batch_id")
+    )
+    rows = rows.join(named, ["sensor_id", "api_payload"]).dropDuplicates()
+    catalog.append(rows, tables.bronze_measurements)
+    fact_plan.transform_measurements(spark, tables, RUN_TS)
+    return _plain(spark.table(tables.fact)).select(
+        "batch_id", "sensor_id", "measurement_datetime_from_utc", "value"
+    )
+
+
+def alert_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The alert over catalog tables after one snapshot and one batch."""
+    configure(spark)
+    tables, path = _tables(spark), scratch_dir(spark, "places")
+    number = F.floor(F.col("location_id") / landing.PAGE_LIMIT).cast("int") + 1
+    documents = sample.location_documents(spark, sf).withColumn("page", number)
+    pages = bronze.pack_documents(documents, ["page"], ["location_id"], F.col("document"))
+    sample.land(pages, path, "d")
+    dimension_plan.run_dimensions(spark, tables, "d", RUN_TS, path)
+    catalog.append(_bronze(spark, sf), tables.bronze_measurements)
+    fact_plan.run_facts(spark, tables, "run-1", RUN_TS, as_of=AS_OF)
+    return _rounded(run_alert(spark, tables, ALERT_DAY, ALERT_LIMITS)[0])
 
 
 def _bronze_tables(spark: SparkSession, sf: str) -> catalog.Tables:
@@ -720,6 +823,20 @@ recent AS (SELECT * FROM merged WHERE from_utc >= DATE '2024-02-10' - 30)
 {_stats_sql("recent")}"""
 
 
+_INGESTED = f"""
+{_READINGS}, windows AS (
+  SELECT 'm-1' AS batch_id, TIMESTAMP '2024-01-15 18:00:00' AS low,
+         TIMESTAMP '2024-01-15 22:00:00' AS high, '2024-01-15T18:00:00+00:00' AS window_from,
+         '2024-01-15T22:00:00+00:00' AS window_to
+  UNION ALL
+  SELECT 'm-2', TIMESTAMP '2024-01-15 22:00:00', TIMESTAMP '2024-01-16 06:00:00',
+         '2024-01-15T22:00:00+00:00', '2024-01-16T06:00:00+00:00'
+), came AS (
+  SELECT * FROM readings JOIN windows ON from_utc >= low AND from_utc < high
+  WHERE country_code IS NOT NULL AND NOT (parameter_id = 2 AND location_id % 3 = 0)
+)"""
+
+
 def _sql() -> dict[str, str]:
     return {
         "scan_table": "SELECT * FROM events",
@@ -748,6 +865,26 @@ WITH pages AS (
 )
 SELECT user_id, page, documents FROM marked
 WHERE position = page AND stops = 0 AND NOT failed""",
+        "page_prefix_requests": """
+WITH pages AS (
+  SELECT CASE WHEN event_type < 'd' THEN 'a' ELSE 'b' END AS request, user_id,
+         CAST(day(ts) % 4 + 1 AS INTEGER) AS page, count(*) AS documents,
+         max(value) > 300 AS failed
+  FROM events GROUP BY ALL
+), marks AS (
+  SELECT *, lag(page) OVER feed AS before FROM pages
+  WINDOW feed AS (PARTITION BY request, user_id ORDER BY page)
+), ends AS (
+  SELECT request, user_id,
+         min(CASE WHEN failed OR page <> coalesce(before, 0) + 1 THEN page END) AS stop_before,
+         min(CASE WHEN documents < 2 THEN page END) AS stop_after
+  FROM marks GROUP BY ALL
+)
+SELECT request, user_id, page, documents FROM marks JOIN ends USING (request, user_id)
+WHERE page < coalesce(stop_before, 99) AND page <= coalesce(stop_after, 99)""",
+        "bronze_pack_chunks": f"""
+WITH {_READINGS}
+SELECT location_id, true AS fits, {_DOCUMENT} AS document FROM readings""",
         "values_limits": f"""
 WITH {_READINGS},
 limits AS (SELECT * FROM (VALUES (2, 20), (1, 45), (3, 120), (5, 50), (6, 50), (4, 4000))
@@ -967,6 +1104,31 @@ FROM breaches""",
         "dimensions_run": f"""
 WITH {_locations_sql("older", "2024-01-16")}, {_locations_sql("newer")}
 {_upserted_locations_sql("older", "newer")}""",
+        "dimensions_run_sensors": f"""
+WITH {_READINGS}
+SELECT DISTINCT sensor_id, parameter_name || ' µg/m³' AS name, parameter_id, parameter_name,
+       unit AS parameter_units, {_initcap("parameter_name")} AS parameter_display_name,
+       location_id, '{_RUN_ISO}' AS bronze_ingestion_time, {_RUN_SQL} AS dim_ingested_at
+FROM readings WHERE location_id IN (SELECT c_custkey FROM customer)""",
+        "ingest_run": f"""
+WITH {_INGESTED}
+SELECT batch_id, sensor_id, country_code, window_from AS ingestion_window_datetime_from, value,
+       strftime(from_utc, '%Y-%m-%dT%H:%M:%SZ') AS from_utc FROM came""",
+        "run_log": f"""
+WITH {_INGESTED}
+SELECT batch_id AS run_id, c.country_code, window_to AS ingestion_window_datetime_to,
+       count(DISTINCT sensor_id) AS bronze_rows, count(sensor_id) AS documents
+FROM (SELECT DISTINCT country_code FROM readings WHERE country_code IS NOT NULL) c
+CROSS JOIN windows LEFT JOIN came USING (batch_id, country_code, window_to) GROUP BY ALL""",
+        "backlog_run": f"""
+WITH {_READINGS}, twice AS (
+  SELECT *, day(ts) AS d FROM readings
+  UNION ALL SELECT *, greatest(day(ts) - 1, 1) AS d FROM readings)
+SELECT 'day-' || d AS batch_id, sensor_id, from_utc AS measurement_datetime_from_utc, value
+FROM twice""",
+        "alert_run": f"""
+WITH {_READINGS}, {_BREACHES}
+SELECT * FROM breaches""",
         "facts_run": _RUN_DAILY,
         "stream_facts_run": _RUN_DAILY,
     }
@@ -977,8 +1139,10 @@ _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     src_location_pages,
     src_measurement_pages,
     page_prefix,
+    page_prefix_requests,
     values_limits,
     bronze_pack,
+    bronze_pack_chunks,
     batch_stamp,
     append_roundtrip,
     project_columns,
@@ -1013,6 +1177,11 @@ _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     alert_breaches,
     alert_state,
     dimensions_run,
+    dimensions_run_sensors,
+    ingest_run,
+    run_log,
+    backlog_run,
+    alert_run,
     facts_run,
     stream_facts_run,
 ]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gaugeline.functions.instants import hours, instant_or_now, parse_instant
 from gaugeline.operators.joins import lookup_join
 
+# Fixed values of the feed's schedule.
 MIN_LAG_HOURS = 2
 FIRST_RUN_HOURS = 4
 MAX_CHUNK_HOURS = 8

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gaugeline import schemas
@@ -27,15 +27,21 @@ def unprocessed_batches(bronze: DataFrame, processed: DataFrame) -> DataFrame:
     return lookup_join(bronze, distinct_batches(processed), ["batch_id"], "left_anti")
 
 
-def explode_batches(bronze: DataFrame, run_ts: datetime | None = None) -> DataFrame:
+def explode_batches(
+    bronze: DataFrame, run_ts: datetime | None = None, observation: Observation | None = None
+) -> DataFrame:
     """Parse each payload and give one staging row per reading.
 
     A payload that is NULL, empty or malformed gives no row; a malformed instant or
     batch parameter is NULL instead of failing the run (``payload_rejects`` and
-    ``instant_rejects`` count them).
+    ``instant_rejects`` count them). ``observation`` learns ``rejected_payloads`` when the
+    rows are written.
     """
-    items = F.from_json("api_payload", schemas.MEASUREMENT_ITEMS)
-    return bronze.withColumn("item", F.explode(items)).select(
+    parsed = bronze.withColumn("items", F.from_json("api_payload", schemas.MEASUREMENT_ITEMS))
+    if observation is not None:
+        rejected = F.count_if(F.col("items").isNull()).alias("rejected_payloads")
+        parsed = parsed.observe(observation, rejected)
+    return parsed.withColumn("item", F.explode("items")).select(
         "batch_id",
         "sensor_id",
         "location_id",

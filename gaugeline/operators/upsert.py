@@ -133,6 +133,67 @@ def _updated(
     return single.unionByName(settled)
 
 
+def _merged(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    set_cols: Sequence[str],
+    when: Condition | None,
+    stamp: Mapping[str, Column],
+) -> DataFrame:
+    """Both sides met once, by a full join of the target with the source rows of each key.
+
+    For keys that are unique by contract, so that the rows of one key are few.
+    """
+    keys = list(keys)
+    source_only = [c for c in source.columns if c not in keys]
+    by_key = (
+        _known(source, keys)
+        .groupBy(*keys)
+        .agg(F.collect_list(F.struct(*source_only)).alias("__rows"))
+    )
+    present = target.withColumn("__old", F.struct(*target.columns))
+    joined = present.select(*keys, "__old").join(by_key, keys, "full")
+
+    def of_target(name: str) -> Column:
+        return F.col(f"__old.{name}")
+
+    def hits_of(row: Column) -> Column:
+        def of_source(name: str) -> Column:
+            return F.col(name) if name in keys else row[name]
+
+        return F.coalesce(when(of_target, of_source), F.lit(False))
+
+    hits = F.col("__rows") if when is None else F.filter("__rows", hits_of)
+    joined = joined.withColumn("__hits", hits)
+    hit = F.when(F.size("__hits") > 1, _ambiguous(keys).cast("boolean")).otherwise(
+        F.coalesce(F.size("__hits") == 1, F.lit(False))
+    )
+    joined = joined.withColumn("__hit", hit)
+
+    def updated(name: str) -> Column:
+        if name in stamp:
+            new = stamp[name]
+        elif name in set_cols and name in keys:
+            new = F.col(name)
+        elif name in set_cols:
+            new = F.get("__hits", F.lit(0))[name]
+        else:
+            return of_target(name).alias(name)
+        return F.when(F.col("__hit"), new).otherwise(of_target(name)).alias(name)
+
+    def inserted(row: Column) -> Column:
+        return F.struct(*[(F.col(c) if c in keys else row[c]).alias(c) for c in target.columns])
+
+    old = F.array(F.struct(*[updated(c) for c in target.columns]))
+    rows = F.when(F.col("__old").isNotNull(), old).otherwise(F.transform("__rows", inserted))
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    met = joined.select(F.explode(rows).alias("__row")).select("__row.*")
+    return met.unionByName(source.where(missing).select(*target.columns))
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -141,12 +202,15 @@ def upsert(
     when: Condition | None = None,
     stamp: Mapping[str, Column] | None = None,
     dedupe_source: bool = False,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """The whole target after merging ``source``.
 
     ``set_cols`` are the columns an update sets: all but the keys by default, none
     for insert-only. ``when`` restricts updates and is given both sides, as in
     ``lambda t, s: t("v") != s("v")``. ``stamp`` columns are set on update and insert.
+    ``unique_keys`` says that keys are unique by contract: both sides are then read once
+    and joined without a search for hot keys. The result is the same.
     """
     stamp = dict(stamp or {})
     source = source.withColumns(stamp) if stamp else source
@@ -155,6 +219,8 @@ def upsert(
         source = deduplicate(source, keys)
     if set_cols is None:
         set_cols = [c for c in target.columns if c not in keys and c not in stamp]
+    if unique_keys and set_cols:
+        return _merged(target, source, keys, set_cols, when, stamp)
     kept = target
     if set_cols:
         kept = _updated(target, source, keys, set_cols, when, stamp)
@@ -194,6 +260,7 @@ def upsert_locations(
         when=lambda t, s: (t("last_updated_utc") != s("last_updated_utc"))
         & s("last_updated_utc").isNotNull(),
         stamp={"dim_ingested_at": instant_or_now(run_ts)},
+        unique_keys=True,
         **options,
     )
 
@@ -206,6 +273,7 @@ def upsert_sensors(
         incoming,
         schemas.SENSOR_KEY,
         stamp={"dim_ingested_at": instant_or_now(run_ts)},
+        unique_keys=True,
         **options,
     )
 
@@ -229,4 +297,4 @@ DAILY_MEASURES = [
 
 def upsert_daily(daily: DataFrame, incoming: DataFrame) -> DataFrame:
     """Overwrite the measures; place and parameter name of an existing row are kept."""
-    return upsert(daily, incoming, schemas.DAILY_KEY, set_cols=DAILY_MEASURES)
+    return upsert(daily, incoming, schemas.DAILY_KEY, DAILY_MEASURES, unique_keys=True)

@@ -17,7 +17,7 @@ def ingest_locations(
     spark: SparkSession, tables: catalog.Tables, batch_id: str, run_ts: datetime, path: str
 ) -> None:
     """Append one snapshot; a feed without locations leaves an empty one."""
-    landed = landing.landed_once(landing.read_location_pages(spark, path))
+    landed = landing.landed_once(landing.read_location_pages(spark, path, batch_id))
     pages = landing.page_prefix(landed, [])
     rows = bronze.stamp_locations(bronze.pack_pages(pages), batch_id, run_ts)
     if rows.isEmpty():

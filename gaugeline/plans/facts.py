@@ -5,12 +5,13 @@ from __future__ import annotations
 import uuid
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeline import schemas
 from gaugeline.functions.instants import day_or_today, instant_or_now, iso_offset
 from gaugeline.functions.values import DEFAULT_COUNTRY
-from gaugeline.operators import bronze, daily, planning, silver, upsert
+from gaugeline.operators import audit, bronze, daily, planning, silver, upsert
 from gaugeline.operators.joins import lookup_join
 from gaugeline.session import configure, materialise
 from gaugeline.sources import catalog, landing
@@ -25,11 +26,14 @@ def measurement_plan(
     run_ts: datetime,
     country_code: str | None = DEFAULT_COUNTRY,
 ) -> DataFrame:
-    """Sensors to read and their window, of one country or, with None, of all."""
+    """Sensors to read and their window, of one country or, with None, of all.
+
+    Windows follow the last one in the run log, which also knows windows without data.
+    """
     locations = spark.table(tables.dim_locations)
-    marks = spark.table(tables.bronze_measurements)
+    marks = spark.table(tables.run_log).where("kind = 'ingest'")
     if country_code is not None:
-        country_code = country_code.upper()
+        country_code = country_code.upper() or DEFAULT_COUNTRY
         locations = planning.in_country(locations, country_code)
         marks = planning.in_country(marks, country_code)
     windows = planning.country_windows(locations, marks, run_ts)
@@ -46,21 +50,32 @@ def ingest_measurements(
     country_code: str | None = DEFAULT_COUNTRY,
 ) -> None:
     """Append the planned sensors' landed pages as one batch, in one write."""
-    plan = measurement_plan(spark, tables, run_ts, country_code)
-    landed = landing.landed_once(landing.read_measurement_pages(spark, path))
-    pages = landing.page_prefix(landed, ["sensor_id"])
-    planned = lookup_join(pages, plan, ["sensor_id"], "inner").withColumn(
+    plan = materialise(measurement_plan(spark, tables, run_ts, country_code), "plan")
+    landed = landing.read_measurement_pages(spark, path, batch_id)
+    # Pages nobody planned are dropped before the copy, which then serves twice.
+    planned = landing.landed_once(lookup_join(landed, plan, ["sensor_id"], "inner"))
+    pages = landing.page_prefix(planned, ["sensor_id"]).withColumn(
         "results",
         landing.within_window(F.col("results"), F.col("window_from"), F.col("window_to")),
     )
     rows = bronze.stamp_measurements(
-        bronze.pack_pages(planned),
+        bronze.pack_pages(pages),
         batch_id,
         run_ts,
         iso_offset(F.col("window_from")),
         iso_offset(F.col("window_to")),
     )
     catalog.append(rows, tables.bronze_measurements)
+    written = spark.table(tables.bronze_measurements).where(F.col("batch_id") == batch_id)
+    _log_run(audit.ingested(plan, written, batch_id), tables, run_ts)
+
+
+def _log_run(rows: DataFrame, tables: catalog.Tables, run_ts: datetime) -> None:
+    """Append run-log rows; what a kind of run does not count is NULL."""
+    nothing = rows.sparkSession.createDataFrame([], schemas.RUN_LOG).drop("logged_at")
+    full = nothing.unionByName(rows, allowMissingColumns=True)
+    stamped = full.withColumn("logged_at", instant_or_now(run_ts))
+    catalog.append(stamped.coalesce(1), tables.run_log)
 
 
 def _pending(spark: SparkSession, tables: catalog.Tables) -> DataFrame:
@@ -76,13 +91,19 @@ def pending_batches(spark: SparkSession, tables: catalog.Tables) -> list[str]:
     return sorted(r.batch_id for r in _pending(spark, tables).collect())
 
 
-def stage(rows: DataFrame, tables: catalog.Tables, load_id: str, run_ts: datetime) -> DataFrame:
+def stage(
+    rows: DataFrame,
+    tables: catalog.Tables,
+    load_id: str,
+    run_ts: datetime,
+    observation: Observation | None = None,
+) -> DataFrame:
     """Write the staging rows of a load once and read them back.
 
     Rows without a batch id have one place, replaced whenever they are tried again.
     """
     unnamed = F.col("batch_id").isNull()
-    staged = silver.explode_batches(rows, run_ts).withColumn(
+    staged = silver.explode_batches(rows, run_ts, observation).withColumn(
         catalog.LOAD_ID, F.when(unnamed, UNNAMED_LOAD).otherwise(load_id)
     )
     catalog.replace_partitions(staged.hint("rebalance", "batch_id"), tables.staging)
@@ -145,9 +166,13 @@ def undo_unfinished(spark: SparkSession, tables: catalog.Tables) -> None:
 def load_batches(rows: DataFrame, tables: catalog.Tables, load_id: str, run_ts: datetime) -> None:
     """One load: note its start, stage, append, commit. A load that stops is undone later."""
     _note(rows.sparkSession, tables, load_id, "started")
-    staged = stage(rows, tables, load_id, run_ts)
+    observation = Observation()
+    staged = stage(rows, tables, load_id, run_ts, observation)
     append_facts(staged, tables, run_ts, load_id)
     log_batches(rows.select("batch_id"), tables, run_ts, load_id)
+    fact = rows.sparkSession.table(tables.fact).where(F.col(catalog.LOAD_ID) == load_id)
+    rejected = observation.get["rejected_payloads"]
+    _log_run(audit.loaded(staged, fact, load_id, rejected), tables, run_ts)
 
 
 def transform_measurements(

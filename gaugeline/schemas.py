@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 _TYPES = {
     "string": T.StringType(),
     "int": T.IntegerType(),
+    "bigint": T.LongType(),
     "double": T.DoubleType(),
     "timestamp": T.TimestampType(),
     "date": T.DateType(),
@@ -107,6 +108,12 @@ LIMITS = _schema("parameter_id int, max_limit int")
 
 # Batches already transformed, also those that added no fact row.
 BATCH_LOG = _schema("batch_id string, processed_at timestamp, load_id string")
+# One row for each country of an ingestion, also without data, and one for each load.
+RUN_LOG = _schema(
+    "run_id string, kind string, country_code string, ingestion_window_datetime_from string, "
+    "ingestion_window_datetime_to string, bronze_rows bigint, documents bigint, staged bigint, "
+    "inserted bigint, rejected_payloads bigint, rejected_instants bigint, logged_at timestamp"
+)
 LOAD_STARTS = _schema("load_id string, state string, noted_at timestamp")
 
 # --- logical keys -------------------------------------------------------------------

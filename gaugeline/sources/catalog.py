@@ -62,6 +62,10 @@ class Tables:
     def batch_log(self) -> str:
         return self._name("processed_batches")
 
+    @property
+    def run_log(self) -> str:
+        return self._name("run_log")
+
     @property
     def load_starts(self) -> str:
         return self._name("load_starts")
@@ -115,6 +119,7 @@ def ensure_all(spark: SparkSession, tables: Tables) -> None:
     ensure_table(spark, tables.daily, schemas.DAILY, ["day_start"])
     ensure_table(spark, tables.batch_log, schemas.BATCH_LOG)
     ensure_table(spark, tables.load_starts, schemas.LOAD_STARTS)
+    ensure_table(spark, tables.run_log, schemas.RUN_LOG, ["kind"])
     refresh(spark, tables)
 
 
@@ -130,6 +135,7 @@ def refresh(spark: SparkSession, tables: Tables) -> None:
         tables.daily,
         tables.batch_log,
         tables.load_starts,
+        tables.run_log,
     ):
         spark.catalog.refreshTable(table)
 

@@ -2,30 +2,58 @@
 
 A page lands as one JSON document per line, ``{"page", "status", "results": [...]}``
 (measurements also carry ``sensor_id``). Documents inside ``results`` stay raw text.
+Pages that answer one request (a run's batch id) lie in a folder of their own,
+``request=<id>``: page numbers count within a request, and a run reads its folder only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeline import schemas
 from gaugeline.functions.instants import parse_instant
 from gaugeline.operators.joins import lookup_join
 from gaugeline.session import materialise
 
+# Fixed values of the feed: documents of a full page, and the status of a page that came.
 PAGE_LIMIT = 1000
 STATUS_OK = 200
 
 
-def read_location_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.LOCATION_PAGE).json(path)
+def request_folder(path: str, request: str) -> str:
+    """Where the pages that answer one request land below a landing path."""
+    return f"{path.rstrip('/')}/request={quote(request, safe='')}"
 
 
-def read_measurement_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.MEASUREMENT_PAGE).json(path)
+def _read(spark: SparkSession, path: str, schema: T.StructType, request: str | None) -> DataFrame:
+    reader = spark.read.schema(schema)
+    if request is None:
+        return reader.json(path)
+    try:
+        return reader.json(request_folder(path, request))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # no page has landed
+
+
+def read_location_pages(
+    spark: SparkSession, path: str, request: str | None = None
+) -> DataFrame:
+    """Pages of one request, whose folder alone is read, or of all that lie in ``path``."""
+    return _read(spark, path, schemas.LOCATION_PAGE, request)
+
+
+def read_measurement_pages(
+    spark: SparkSession, path: str, request: str | None = None
+) -> DataFrame:
+    return _read(spark, path, schemas.MEASUREMENT_PAGE, request)
 
 
 def landed_once(pages: DataFrame) -> DataFrame:

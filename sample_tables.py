@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from gaugeline.functions.instants import iso_seconds
 from gaugeline.operators.bronze import pack_documents, stamp_locations, stamp_measurements
 from gaugeline.operators.joins import lookup_join
+from gaugeline.sources.landing import request_folder
 
 # Parameter ids of the event types.
 PARAMETERS = [("click", 1), ("error", 2), ("purchase", 3), ("signup", 4), ("view", 5)]
@@ -183,11 +184,17 @@ def location_snapshot(
     return stamp_locations(packed, batch_id, run_ts)
 
 
-def land(pages: DataFrame, path: str) -> None:
-    """Write packed documents as page responses, one JSON document per line."""
+def land(pages: DataFrame, path: str, request: str | None = None) -> None:
+    """Write packed documents as page responses, one JSON document per line.
+
+    ``request`` names the folder of one request; a ``status`` column replaces 200.
+    """
+    if "status" not in pages.columns:
+        pages = pages.withColumn("status", F.lit(200))
     head = [c for c in pages.columns if c not in ("rows_fetched", "api_payload")]
-    fields = F.to_json(F.struct(*head, F.lit(200).alias("status")))
+    fields = F.to_json(F.struct(*head))
     body = F.concat(
         F.regexp_replace(fields, r"\}$", ',"results":'), F.col("api_payload"), F.lit("}")
     )
-    pages.select(body.alias("value")).write.text(path)
+    folder = request_folder(path, request) if request else path
+    pages.select(body.alias("value")).write.text(folder)

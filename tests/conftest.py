@@ -43,14 +43,15 @@ def tables(spark, request):
 
 @pytest.fixture
 def land(tmp_path):
-    """Write page responses as a landing folder and return its path."""
+    """Write page responses as a landing folder, of one request if named; returns its path."""
     import json
 
-    def write(name, lines):
-        folder = tmp_path / name
-        folder.mkdir()
+    def write(name, lines, request=None):
+        path = tmp_path / name
+        folder = path / f"request={request}" if request else path
+        folder.mkdir(parents=True)
         texts = [t if isinstance(t, str) else json.dumps(t, ensure_ascii=False) for t in lines]
         (folder / "pages.json").write_text("\n".join(texts) + "\n", encoding="utf-8")
-        return str(folder)
+        return str(path)
 
     return write

@@ -60,14 +60,14 @@ def bronze_rows(spark, rows):
 
 def test_dimension_runs(spark, tables, land):
     first = [location(1, "PT", [10, 11]), location(2, "ES", [20])]
-    dimensions.run_dimensions(spark, tables, "b1", NOW, land("one", [page(first)]))
+    dimensions.run_dimensions(spark, tables, "b1", NOW, land("one", [page(first)], "b1"))
     changed = [
         location(1, "PT", [10], name="renamed"),
         location(2, "ES", [20], last="2024-01-31T00:00:00Z", name="moved"),
         location(3, "PT", [30]),
     ]
     later = NOW + timedelta(days=7)
-    dimensions.run_dimensions(spark, tables, "b2", later, land("two", [page(changed)]))
+    dimensions.run_dimensions(spark, tables, "b2", later, land("two", [page(changed)], "b2"))
     found = {r.location_id: r for r in spark.table(tables.dim_locations).collect()}
     assert {i: r.name for i, r in found.items()} == {1: "place", 2: "moved", 3: "place"}
     sensors = {r.sensor_id: r.bronze_ingestion_time for r in spark.table(tables.dim_sensors).collect()}
@@ -75,12 +75,26 @@ def test_dimension_runs(spark, tables, land):
         10: True, 11: False, 20: True, 30: True,
     }
     before = contents(spark, tables.dim_locations)
-    dimensions.run_dimensions(spark, tables, "b3", later, land("none", [page([])]))
+    dimensions.run_dimensions(spark, tables, "b3", later, land("none", [page([])], "b3"))
     assert contents(spark, tables.dim_locations) == before
     newest = spark.table(tables.bronze_locations).where("batch_id = 'b3'").collect()
     assert [(r.rows_fetched, r.api_payload) for r in newest] == [(0, "[]")]
 
 
+def test_requests_in_one_folder_stay_apart(spark, tables, land):
+    """Each run sees the pages of its own request: page 2 follows its own page 1."""
+    full = [location(n, "PT", [n]) for n in range(1000)]
+    land("all", [page(full[:1])], "b1")
+    land("all", [page(full, 1), page([location(5000, "ES", [9000])], 2)], "b2")
+    path = land("all", [], "b3")
+    dimensions.run_dimensions(spark, tables, "b1", NOW, path)
+    assert spark.table(tables.dim_locations).count() == 1
+    dimensions.run_dimensions(spark, tables, "b2", NOW + timedelta(days=7), path)
+    assert spark.table(tables.dim_locations).count() == 1001
+    dimensions.run_dimensions(spark, tables, "nothing landed", NOW + timedelta(days=8), path)
+    assert spark.table(tables.dim_locations).count() == 1001
+
+
 def test_no_snapshot_changes_nothing(spark, tables):
     dimensions.run_dimensions(spark, tables, "b", NOW)
     assert spark.table(tables.dim_locations).count() == 0
@@ -88,7 +102,7 @@ def test_no_snapshot_changes_nothing(spark, tables):
 
 def test_landing_to_daily_statistics(spark, tables, land):
     places = [location(1, "PT", [10, 11]), location(2, "ES", [20])]
-    dimensions.run_dimensions(spark, tables, "d", NOW, land("places", [page(places)]))
+    dimensions.run_dimensions(spark, tables, "d", NOW, land("places", [page(places)], "d"))
     cap = NOW - timedelta(hours=2)
     hours = [cap - timedelta(hours=h) for h in range(6, -1, -1)]
     pages = [
@@ -97,7 +111,8 @@ def test_landing_to_daily_statistics(spark, tables, land):
         page([measurement(hours[3], 9.0)], sensor_id=20),
         page([measurement(hours[3], 9.0)], sensor_id=99),
     ]
-    path = land("readings", pages)
+    for request in ("m1", "m2", "m3"):
+        path = land("readings", pages, request)
     facts.run_facts(spark, tables, "m1", NOW, path, "pt", AS_OF)
     (bronze,) = spark.table(tables.bronze_measurements).collect()
     assert (bronze.sensor_id, bronze.rows_fetched, bronze.country_code) == (10, 4, "PT")
@@ -218,7 +233,7 @@ def test_fact_lookup_reads_only_the_days_of_the_batch(spark, tables):
 
 def test_latest_snapshot_reads_only_its_own_files(spark, tables, land):
     for batch_id, run_ts in (("b1", NOW), ("b2", NOW + timedelta(days=1))):
-        path = land(batch_id, [page([location(1, "PT", [10])])])
+        path = land("weekly", [page([location(1, "PT", [10])])], batch_id)
         dimensions.run_dimensions(spark, tables, batch_id, run_ts, path)
     newest = latest_snapshot(spark.table(tables.bronze_locations))
     assert [r.batch_id for r in newest.collect()] == ["b2"]
@@ -227,7 +242,7 @@ def test_latest_snapshot_reads_only_its_own_files(spark, tables, land):
 
 def test_alert_run(spark, tables, land):
     dimensions.run_dimensions(
-        spark, tables, "d", NOW, land("places", [page([location(1, "PT", [1, 2], name="here")])])
+        spark, tables, "d", NOW, land("places", [page([location(1, "PT", [1, 2], name="here")])], "d")
     )
     rows = [("a", s, [measurement(NOW, 130.0)]) for s in (1, 2)]
     catalog.append(bronze_rows(spark, rows), tables.bronze_measurements)

@@ -61,13 +61,17 @@ def test_against_model(spark, monkeypatch, seed, hot_rows):
     t, s = spark.createDataFrame(target, SCHEMA), spark.createDataFrame(source, SCHEMA)
     keys = ["k", "j"]
     assert rows_of(upsert.upsert(t, s, keys)) == model(target, source, True)
+    merged = upsert.upsert(t, s, keys, unique_keys=True)
+    assert rows_of(merged) == model(target, source, True)
     assert rows_of(upsert.upsert(t, s, keys, set_cols=[])) == model(target, source, False)
     conditional = upsert.upsert(t, s, keys, when=column_differs)
     assert rows_of(conditional) == model(target, source, True, differs)
+    merged = upsert.upsert(t, s, keys, when=column_differs, unique_keys=True)
+    assert rows_of(merged) == model(target, source, True, differs)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
-def test_several_source_rows_for_one_target_row(spark, monkeypatch, hot_rows):
+@pytest.mark.parametrize("hot_rows, unique", [(1, False), (1_000_000, False), (1, True)])
+def test_several_source_rows_for_one_target_row(spark, monkeypatch, hot_rows, unique):
     monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
     t = spark.createDataFrame(
         [(1, 0, "old", "p"), (1, 0, "old", "p"), (2, 0, "old", "p"), (3, 0, "old", None)], SCHEMA
@@ -83,15 +87,15 @@ def test_several_source_rows_for_one_target_row(spark, monkeypatch, hot_rows):
         ],
         SCHEMA,
     )
-    kept = upsert.upsert(t, s, ["k", "j"], when=column_differs)
+    kept = upsert.upsert(t, s, ["k", "j"], when=column_differs, unique_keys=unique)
     assert rows_of(kept) == Counter(
         {(1, 0, "b", "q"): 2, (2, 0, "old", "p"): 1, (3, 0, "old", None): 1}
     )
     with pytest.raises(PySparkException, match="several source rows"):
-        upsert.upsert(t, s, ["k", "j"]).collect()
+        upsert.upsert(t, s, ["k", "j"], unique_keys=unique).collect()
     s = s.unionByName(spark.createDataFrame([(1, 0, "z", "q")], SCHEMA))
     with pytest.raises(PySparkException, match="several source rows"):
-        upsert.upsert(t, s, ["k", "j"], when=column_differs).collect()
+        upsert.upsert(t, s, ["k", "j"], when=column_differs, unique_keys=unique).collect()
 
 
 def test_deduplicate_is_opt_in_and_keeps_null_keys(spark):
