@@ -1,8 +1,8 @@
 """Substring removal by sliding sentence spans.
 
 A text is cut into sentences (long ones further, at words chosen by their own hash, so
-the same passage is cut alike wherever it stands). Every run of ``RUN`` consecutive
-sentences is hashed; hashes meet over all documents; each run found again, save its first
+the same passage is cut alike wherever it stands). The run of ``RUN`` consecutive
+sentences, or more if they are short, from every sentence on is hashed; hashes meet over all documents; each run found again, save its first
 occurrence, marks its sentences, and marked sentences are removed.
 """
 
@@ -23,23 +23,30 @@ from gaugeline.session import materialise
 
 RUN = 3
 MIN_WORDS = 12
-LONG, SHORTEST, LONGEST = 16, 6, 24
+LONG, SHORTEST, LONGEST = 12, 3, 16
 
 SEPARATOR = re.compile(r"(?<=[.!?…])[^\S\n]+|(?<=[。！？])|\s*\n\s*")
 WORD = re.compile(r"\S+")
-MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+BASE = 0x9E3779B97F4A7C15
 
 
 def _cuts(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
-    """Parts of a long sentence: a cut follows a word whose hash is a multiple of 8."""
-    since, first = 0, start
-    for word in WORD.finditer(text, start, end):
+    """Parts of a long sentence, cut by what the words are, not by where they stand.
+
+    A cut follows a word whose hash is a multiple of 4, and the last of a word's repeats.
+    """
+    since, first, last, again, stop = 0, start, "", False, start
+    for found in WORD.finditer(text, start, end):
+        word = found[0].lower()
+        if since and again and word != last:
+            yield first, stop
+            since = 0
         if not since:
-            first = word.start()
-        since += 1
-        chosen = since >= SHORTEST and xxhash.xxh32_intdigest(word[0].lower()) % 8 == 0
-        if (chosen or since == LONGEST) and word.end() < end:
-            yield first, word.end()
+            first = found.start()
+        since, again, last, stop = since + 1, word == last, word, found.end()
+        chosen = since >= SHORTEST and xxhash.xxh32_intdigest(word) % 4 == 0
+        if (chosen or since == LONGEST) and stop < end:
+            yield first, stop
             since = 0
     if since:
         yield first, end
@@ -69,19 +76,38 @@ def sentences(text: str) -> tuple[list[tuple[int, int]], list[int], list[int]]:
     return places, hashes, counts
 
 
+def run_ends(counts: list[int]) -> np.ndarray:
+    """Where the run from each sentence ends: after ``RUN`` sentences and ``MIN_WORDS`` words.
+
+    Sentences too near the end of the text start no run.
+    """
+    before = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+    enough = np.searchsorted(before, before[:-1] + MIN_WORDS)
+    ends = np.maximum(enough, np.arange(len(counts)) + RUN)
+    return ends[ends <= len(counts)]
+
+
+def _powers(count: int) -> np.ndarray:
+    """BASE to the power of -count .. count, modulo 2**64."""
+    with np.errstate(over="ignore"):
+        up = np.cumprod(np.full(count, BASE, np.uint64), dtype=np.uint64)
+        down = np.cumprod(np.full(count, pow(BASE, -1, 1 << 64), np.uint64), dtype=np.uint64)
+    return np.concatenate([down[::-1], [np.uint64(1)], up])
+
+
 def run_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Position and hash of every run of ``RUN`` sentences with enough words."""
+    """Position and hash of the run from each sentence."""
     _, hashes, counts = sentences(text)
-    n = len(hashes) - RUN + 1
-    if n < 1:
-        return np.empty(0, np.int32), np.empty(0, np.int64)
-    units, words = np.array(hashes, np.uint64), np.array(counts)
-    mixed = np.zeros(n, np.uint64)
-    for at in range(RUN):
-        mixed = (mixed ^ units[at : at + n]) * MIX[at]
-        mixed ^= mixed >> np.uint64(29)
-    enough = sum(words[at : at + n] for at in range(RUN)) >= MIN_WORDS
-    return np.flatnonzero(enough).astype(np.int32), mixed[enough].view(np.int64)
+    ends = run_ends(counts)
+    at = np.arange(len(ends))
+    if not len(ends):
+        return at.astype(np.int32), np.empty(0, np.int64)
+    n, units = len(hashes), np.array(hashes, np.uint64)
+    powers = _powers(n)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(units * powers[n : 2 * n], dtype=np.uint64)])
+    found = (sums[ends] - sums[at]) * powers[n - at] + (ends - at).astype(np.uint64)
+    found = (found ^ (found >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return at.astype(np.int32), (found ^ (found >> np.uint64(32))).view(np.int64)
 
 
 def runs(docs: DataFrame) -> DataFrame:
@@ -109,8 +135,9 @@ def runs(docs: DataFrame) -> DataFrame:
 
 def without(text: str, positions: list[int]) -> tuple[str, int]:
     """The text less the sentences of the runs at ``positions``, and how many these are."""
-    places, _, _ = sentences(text)
-    gone = {at + k for at in positions for k in range(RUN)}
+    places, _, counts = sentences(text)
+    ends = run_ends(counts)
+    gone = {k for at in positions for k in range(at, int(ends[at]))}
     parts, at = [], 0
     for number in sorted(gone):
         start = places[number][0]
@@ -124,8 +151,8 @@ def without(text: str, positions: list[int]) -> tuple[str, int]:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages removed from ``text``, and ``n_removed`` sentences.
 
-    A run of three sentences of at least twelve words stays where it occurs first: in the
-    smallest doc_id, there at the first place. ``n_chars``, where present, follows the
+    A run of three sentences, or as many more as make twelve words, stays where it occurs
+    first: in the smallest doc_id, there at the first place. ``n_chars``, where present, follows the
     text. A document that repeats an earlier one as a whole is left with an empty text.
 
     A missing text stays missing; texts of fewer than three sentences have no run.

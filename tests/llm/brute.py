@@ -70,11 +70,14 @@ def repeated_runs(rows: list[tuple[int, str]], sentences, run: int, least: int)
         places, _, counts = sentences(text)
         words = [tuple(text[s:e].lower().split()) for s, e in places]
         gone[doc_id] = set()
-        for at in range(len(words) - run + 1):
-            if sum(counts[at : at + run]) < least:
-                continue
-            key = tuple(words[at : at + run])
+        for at in range(len(words)):
+            end = at + run
+            while end <= len(words) and sum(counts[at:end]) < least:
+                end += 1
+            if end > len(words):
+                break
+            key = tuple(words[at:end])
             if key in seen:
-                gone[doc_id] |= set(range(at, at + run))
+                gone[doc_id] |= set(range(at, end))
             seen.add(key)
     return gone
