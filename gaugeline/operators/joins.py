@@ -6,7 +6,7 @@ repeated once per salt (``repeat``); then both sides join on the keys and the sa
 The sketch only decides where rows go, so the result is that of the plain join
 whatever it finds.
 
-``lookup_join`` broadcasts the right side when counting shows that it is small and
+``lookup_join`` writes the right side once, broadcasts it when it turns out small and
 takes the salted way beyond that.
 """
 
@@ -17,8 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeline.session import materialise
+
 HOT_ROWS = 1_000_000  # left rows of one key that one task should take
-HOT_KEYS = 256  # heaviest keys kept: they stay a literal-sized map
+HOT_KEYS = 2_048  # heaviest keys kept: they stay a literal-sized map
 SKETCH_ITEMS = 10_000  # counters of one heavy-hitter sketch
 SKETCH_GROUPS = 512  # sketches left after the first of two merges
 BROADCAST_ROWS = 100_000
@@ -105,7 +107,8 @@ def lookup_join(
     how: str,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join to a side that is expected to be small; its size is counted first."""
-    if right.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return left.join(F.broadcast(right), list(keys), how)
-    return spread_join(left, right, keys, how)
+    """Join to a side of few narrow rows; it is written once and counted there first."""
+    held = materialise(right, "lookup")
+    if held.count() <= broadcast_rows:
+        return left.join(F.broadcast(held), list(keys), how)
+    return spread_join(left, held, keys, how)

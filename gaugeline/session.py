@@ -26,10 +26,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """The path of a new folder under the shared folder the cluster names.
 
-    Without that setting it lies below the warehouse, which executors share as well.
+    A session on one machine may leave ``spark.checkpoint.dir`` unset and gets a folder
+    below its warehouse; on a cluster the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     return f"{root.rstrip('/')}/gaugeline/{name}-{uuid.uuid4().hex}"
 
