@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return _with_signatures(filled, "text", "signatures").drop("text")
 
 
-def neighbours(docs: DataFrame, bucket_rows: int = 20_000) -> DataFrame:
+def neighbours(docs: DataFrame, bucket_rows: int = 2_000) -> DataFrame:
     """(doc_id, text, next_text): each text with that of the next doc_id, falling; a ring.
 
     doc_ids are dealt to ranges of about ``bucket_rows`` rows. The first row of each range
