@@ -166,7 +166,8 @@ def _merged(
 
     hits = F.col("__rows") if when is None else F.filter("__rows", hits_of)
     joined = joined.withColumn("__hits", hits)
-    hit = F.when(F.size("__hits") > 1, _ambiguous(keys).cast("boolean")).otherwise(
+    several = F.col("__old").isNotNull() & (F.size("__hits") > 1)
+    hit = F.when(several, _ambiguous(keys).cast("boolean")).otherwise(
         F.coalesce(F.size("__hits") == 1, F.lit(False))
     )
     joined = joined.withColumn("__hit", hit)
