@@ -183,7 +183,8 @@ def clean(docs: DataFrame, **limits) -> DataFrame:
         & (F.xxhash64("row.text") == F.col("_text_hash"))
     )
     # All columns travel as one, so none can clash with those of the verdict.
-    kept = docs.select(F.struct(*docs.columns).alias("row")).join(verdicts, same)
+    # Both sides are sorted by key at every size: verdicts grow with the documents.
+    kept = docs.select(F.struct(*docs.columns).alias("row")).join(verdicts.hint("merge"), same)
 
     @F.pandas_udf("string")
     def rewritten(texts: pd.Series, removed: pd.Series) -> pd.Series:

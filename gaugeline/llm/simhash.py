@@ -288,8 +288,11 @@ def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """
     groups = materialise(groups.select("doc_id", "component_id").where("doc_id is not null"), "simhash-groups")
     first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(first.hint("merge"), "doc_id", "left_semi")
     repeated = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = docs.join(first, "doc_id", "left_semi")
-    once = kept.join(repeated, "doc_id", "left_anti")
-    several = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.union(several).union(docs.where("doc_id is null")).select(*docs.columns)
+    repeated = materialise(repeated, "simhash-repeated")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, "doc_id", "left_anti")
+        several = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = once.union(several)
+    return kept.select(*docs.columns).union(docs.where("doc_id is null"))

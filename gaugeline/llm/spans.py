@@ -177,7 +177,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         F.xxhash64("row.text") == F.col("_text_hash")
     )
     # All columns travel as one, so none can clash with those of the marks.
-    joined = docs.select(F.struct(*docs.columns).alias("row")).join(marked, same, "left")
+    joined = docs.select(F.struct(*docs.columns).alias("row")).join(
+        marked.hint("merge"), same, "left"
+    )
 
     @F.pandas_udf("text string, n_removed int")
     def rewritten(texts: pd.Series, positions: pd.Series) -> pd.DataFrame:
