@@ -211,3 +211,11 @@ def test_wide_near_duplicates_in_a_template_family(spark, most):
     assert len(pairs) >= 50
     assert all(parts[found[i]] == parts[i] for i in texts)
     assert sum(found[a] == found[b] for a, b in pairs) >= 0.95 * len(pairs)
+
+
+def test_wide_fingerprint_ignores_repeats():
+    draw = np.random.default_rng(2)
+    words, line = ([f"w{k}" for k in draw.integers(0, 10**9, n)] for n in (304, 14))
+    for times in (5, 10):
+        once, more = (np.frombuffer(simhash_wide.fingerprint(" ".join(words + line * n)), np.uint64) for n in (1, times))
+        assert np.bitwise_count(once ^ more).sum() <= 16
