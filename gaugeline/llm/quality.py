@@ -4,10 +4,8 @@ Cross-document line frequency: lines are normalised and hashed, and for every (h
 line) the distinct documents are counted. Lines above the limits are removed, and a
 document that loses most of its words is rejected.
 
-Two documents count as different only if the line stands in different surroundings in
-them (the lines before and after). So copies of one document, which repeat whole runs of
-lines, are not mistaken for a page furniture: they are left to the near-duplicate
-operators, which keep one of them.
+Exact copies of a text count as one document, so they are not mistaken for a page
+furniture: they are left to the near-duplicate operators, which keep one of them.
 """
 
 from __future__ import annotations
@@ -29,9 +27,9 @@ SYMBOLS = "#*$%&|<>"
 FEATURES = (
     "doc_id bigint, host string, text_hash bigint, n_words bigint, word_chars bigint, "
     "n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
-    "lines array<struct<line: bigint, around: bigint, words: bigint>>"
+    "lines array<struct<line: bigint, words: bigint>>"
 )
-LINE = pa.list_(pa.struct([("line", pa.int64()), ("around", pa.int64()), ("words", pa.int64())]))
+LINE = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())]))
 
 
 def line_hash(normalised: bytes) -> int:
@@ -62,21 +60,16 @@ def features_of(text: str) -> tuple[int, int, int, int, int, list[dict]]:
             lines.append(line)
             kept.append((line_hash(b" ".join(parts)), len(parts)))
     spaces = sum(text.count(c) for c in " \t\n\x0b\x0c\r")
-    found: dict[int, list[int]] = {}
-    for at, (line, count) in enumerate(kept):
-        if line in found:
-            found[line][1] += count
-            continue
-        before = kept[at - 1][0] if at else 0
-        after = kept[at + 1][0] if at + 1 < len(kept) else 0
-        found[line] = [line_hash(b"%d %d" % (before, after)), count]
+    found: Counter[int] = Counter()
+    for line, count in kept:
+        found[line] += count
     return (
         len(words),
         len(text) - spaces,
         sum(text.count(c) for c in SYMBOLS),
         len(lines) - len(set(lines)),
         repeated_words(words),
-        [{"line": k, "around": a, "words": n} for k, (a, n) in found.items()],
+        [{"line": k, "words": n} for k, n in found.items()],
     )
 
 
@@ -110,17 +103,16 @@ KEYS = ("doc_id", "host", "text_hash")
 def frequent_lines(rows: DataFrame, min_docs: int, min_share: float) -> DataFrame:
     """(host, line) of lines in more documents of a host than both limits allow."""
     seen = (
-        rows.select("host", F.explode("lines").alias("l"))
-        .groupBy("host", "l.line", "l.around")
-        .agg(F.count("*").alias("docs"))
+        rows.select("host", "text_hash", F.explode("lines.line").alias("line"))
+        .distinct()
         .groupBy("host", "line")
-        .agg(F.count("*").alias("different"), F.sum("docs").alias("docs"))
-        .where((F.col("different") > min_docs) & (2 * F.col("different") > F.col("docs")))
+        .agg(F.count("*").alias("docs"))
+        .where(F.col("docs") > min_docs)
     )
     hosts = rows.groupBy("host").agg(F.count("*").alias("host_docs"))
     return (
         seen.join(hosts, "host")
-        .where(F.col("different") > min_share * F.col("host_docs"))
+        .where(F.col("docs") > min_share * F.col("host_docs"))
         .select("host", "line")
     )
 
@@ -142,7 +134,7 @@ def judge(
 
     A missing text has no words and fails; documents without source share one host;
     repeated rows are judged like any other and count once for line frequency, as they
-    stand in the same surroundings; other columns are ignored; no rows give no rows.
+    have the same text; other columns are ignored; no rows give no rows.
     """
     rows = materialise(features(docs).withColumn("_row", F.monotonically_increasing_id()), "quality")
     gone = (

@@ -92,3 +92,15 @@ def test_chain_without_labels(spark, odd_documents):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     chain = toxicity.train(odd_documents, labels, stages.CATEGORIES)
     assert not any(r["toxic"] for r in toxicity.judge(odd_documents, chain).collect())
+
+
+def test_footer_of_three_lines_is_frequent(spark):
+    """In fixed order its inner lines have one surrounding in all documents; copies count once."""
+    footer = "imprint and contact\nall rights reserved here\nterms of use"
+    rows = [(i, f"text number {i} " + f"own{i} " * 9 + "\n" + footer, "h") for i in range(30)]
+    rows += [(100 + i, "copied first line\ncopied second line", "h") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    judged = {r["doc_id"]: r for r in quality.judge(docs, min_words=1).collect()}
+    lines = {quality.line_hash(line.encode()) for line in footer.split("\n")}
+    assert all(set(judged[i]["removed"]) == lines for i in range(30))
+    assert all(judged[100 + i]["removed"] is None for i in range(30))
