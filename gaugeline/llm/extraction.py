@@ -24,9 +24,18 @@ from pyspark.sql import functions as F
 
 from gaugeline.llm.text import slices
 
+CLOSES_P = frozenset(
+    "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main "
+    "nav ol p pre section table ul figure".split()
+)
+# Left open, these end at the next block tag; script and the like are read to the end of the page.
+ENDS = "|".join(sorted(CLOSES_P | frozenset("li dt dd tr td th body".split())))
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|textarea|select|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|iframe|textarea|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|(?P<empty><svg\b[^>]*/>)"
+    r"|<(?P<part>noscript|template|svg|select)\b[^>]*>"
+    rf"(?:(?:(?!<(?P=part)\b).)*?</(?P=part)\s*>|(?:(?!</?(?:{ENDS})\b).)*)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
@@ -38,10 +47,6 @@ INLINE = frozenset(
     "samp small span strike strong sub sup time tt u var wbr img label button input".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-CLOSES_P = frozenset(
-    "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main "
-    "nav ol p pre section table ul figure".split()
-)
 SAME = frozenset("li dt dd tr td th option".split())
 SPACES = re.compile(r"\s+")
 
@@ -82,7 +87,7 @@ def blocks(page: str) -> list[Block]:
         at = mark.end()
         tag = mark["tag"]
         if not tag:
-            if mark["raw"] and mark["raw"].lower() != "title":
+            if mark["empty"] or mark["part"] or mark["raw"] and mark["raw"].lower() != "title":
                 held.append(" ") if held else None
             continue
         tag = tag.lower()

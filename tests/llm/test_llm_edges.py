@@ -104,3 +104,12 @@ def test_footer_of_three_lines_is_frequent(spark):
     lines = {quality.line_hash(line.encode()) for line in footer.split("\n")}
     assert all(set(judged[i]["removed"]) == lines for i in range(30))
     assert all(judged[100 + i]["removed"] is None for i in range(30))
+
+
+@pytest.mark.parametrize("tag", ['<svg class="i"/>', '<svg class="i">', "<select><option>a", "<template>", "<noscript>"])
+@pytest.mark.parametrize("later", ["", "<footer><svg><path/></svg></footer>"])
+def test_an_element_left_open_leaves_the_article(tag, later):
+    page = f"<header>{tag}</header><article><p>First text.</p><p>Second text.</p></article>{later}"
+    assert [b.text for b in extraction.blocks(page)] == ["First text.", "Second text."]
+    closed = "<p>One</p><template><div>no</div></template><svg><path/><title>no</title></svg><p>Two</p>"
+    assert [b.text for b in extraction.blocks(closed)] == ["One", "Two"]
