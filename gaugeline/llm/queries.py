@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, chat, extraction, lm, packing, quality, simhash, spans, spotsigs, stages, toxicity
+from gaugeline.llm import bpe, chat, extraction, hard_negatives, lm, packing, prefix_trie, quality
+from gaugeline.llm import simhash, spans, spotsigs, stages, token_files, toxicity
+from gaugeline.session import scratch_dir
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -227,6 +229,25 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return spans.remove_repeats(_table(spark, sf, "documents").select("doc_id", "text"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Every seventh label is wrong by one, so that some negatives are near their anchor."""
+    moved = (F.col("label").cast("bigint") + 1) % 10
+    rows = _table(spark, sf, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label"))
+    )
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_conversation_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, sf, "conversations"))
+
+
+def op13_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "token-files")
+    token_files.write(_table(spark, sf, "documents"), path, public_tokenizers.path(BYTE_BPE))
+    return token_files.checksums(token_files.read(spark, path))
+
+
 QUERIES = [
     op1_best_fit_packing,
     op2_bpe_encode_decode,
@@ -238,5 +259,8 @@ QUERIES = [
     op8_document_fingerprints,
     op9_lm_scoring,
     op10_substring_dedup,
+    op11_hard_negatives,
+    op12_conversation_prefix_trie,
+    op13_token_files,
 ]
 ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4_SQL, "op5_chat_formatting": OP5_SQL}

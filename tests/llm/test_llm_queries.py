@@ -36,7 +36,7 @@ def texts(documents):
 
 def test_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(queries.ORACLE_SQL))
