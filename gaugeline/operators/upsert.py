@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gaugeline import schemas
 from gaugeline.functions.instants import instant_or_now
-from gaugeline.operators.joins import SALT, deal, hot_salts, repeat, spread_join
+from gaugeline.operators.joins import SALT, deal, hot_salts, lookup_join, repeat, spread_join
 
 # Given a column name, the target's or the source's column of that name.
 Side = Callable[[str], Column]
@@ -284,6 +284,24 @@ def new_readings(fact: DataFrame, incoming: DataFrame, dedupe_source: bool = Fal
     return new_rows(fact, incoming, schemas.FACT_KEY, dedupe_source)
 
 
+def present_readings(fact: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Keys of incoming readings that the fact holds.
+
+    The fact is never shuffled: incoming keys, of which copies collapse on the map side,
+    are broadcast if few, else they go to the fact's buckets.
+    """
+    keys = _known(incoming.select(*schemas.FACT_KEY), schemas.FACT_KEY).distinct()
+    return fact.select(*schemas.FACT_KEY).join(keys, schemas.FACT_KEY, "left_semi")
+
+
+def absent_readings(fact: DataFrame, incoming: DataFrame) -> DataFrame:
+    """As ``new_readings``, for a fact bucketed by its key.
+
+    Incoming rows stay where they are unless very many of them are present already.
+    """
+    return lookup_join(incoming, present_readings(fact, incoming).distinct(), schemas.FACT_KEY, "left_anti")
+
+
 DAILY_MEASURES = [
     "avg_value",
     "min_value",

@@ -106,8 +106,12 @@ DAILY = _schema(
 
 LIMITS = _schema("parameter_id int, max_limit int")
 
-# Batches already transformed, also those that added no fact row.
-BATCH_LOG = _schema("batch_id string, processed_at timestamp, load_id string")
+# Batches already transformed, also those that added no fact row, by day of arrival.
+BATCH_LOG = _schema("batch_id string, processed_at timestamp, load_id string, arrived_on date")
+# Days of arrival up to which a load found everything that was pending.
+PICKUP_MARKS = _schema("load_id string, arrived_on date")
+# Days of readings that loads touched and that daily statistics were built for.
+DAY_CHANGES = _schema("measurement_day date, load_id string, change string, month string")
 # One row for each country of an ingestion, also without data, and one for each load.
 RUN_LOG = _schema(
     "run_id string, kind string, country_code string, ingestion_window_datetime_from string, "

@@ -13,19 +13,28 @@ from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeline import schemas
 
 FACT_DAY = "measurement_day"
 LOAD_ID = "load_id"
+# The day a batch was written to bronze, by the clock of the writer and not by that of
+# the run, which is the caller's.
+ARRIVED = "arrived_on"
 
 
 @dataclass(frozen=True)
 class Tables:
-    """Names of the tables of one database."""
+    """Names of the tables of one database.
+
+    ``fact_buckets`` counts once the fact is created: so many tasks meet it in a load. It
+    should grow with the table, to some gigabytes a bucket and month.
+    """
 
     database: str = "sensors"
+    fact_buckets: int = 8
 
     def _name(self, table: str) -> str:
         return f"{self.database}.{table}"
@@ -70,6 +79,14 @@ class Tables:
     def load_starts(self) -> str:
         return self._name("load_starts")
 
+    @property
+    def pickup_marks(self) -> str:
+        return self._name("pickup_marks")
+
+    @property
+    def day_changes(self) -> str:
+        return self._name("day_changes")
+
 
 def ensure_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -80,10 +97,14 @@ def ensure_table(
     table: str,
     schema: T.StructType,
     partition_by: Sequence[str] = (),
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
 ) -> None:
     """Create an empty table unless it exists; partition columns go last."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
     layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    if bucket_by:
+        layout += f" CLUSTERED BY ({', '.join(bucket_by)}) INTO {buckets} BUCKETS"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {layout}")
 
 
@@ -95,10 +116,18 @@ def ensure_like(df: DataFrame, table: str) -> None:
 
 def ensure_all(spark: SparkSession, tables: Tables) -> None:
     """All tables of a database. Bronze and staging are laid out by batch, so a run
-    reads only its own files; fact and daily statistics by day."""
+    reads only its own files, bronze readings by day of arrival as well; fact and daily
+    statistics by day. The fact is bucketed by its key, so that new readings meet it
+    without moving it."""
+    arrived = T.StructField(ARRIVED, T.DateType())
     ensure_database(spark, tables.database)
     ensure_table(spark, tables.bronze_locations, schemas.BRONZE_LOCATIONS, ["batch_id"])
-    ensure_table(spark, tables.bronze_measurements, schemas.BRONZE_MEASUREMENTS, ["batch_id"])
+    ensure_table(
+        spark,
+        tables.bronze_measurements,
+        T.StructType(schemas.BRONZE_MEASUREMENTS.fields + [arrived]),
+        [ARRIVED, "batch_id"],
+    )
     ensure_table(spark, tables.dim_locations, schemas.DIM_LOCATIONS)
     ensure_table(spark, tables.dim_sensors, schemas.DIM_SENSORS)
     ensure_table(
@@ -115,9 +144,13 @@ def ensure_all(spark: SparkSession, tables: Tables) -> None:
             + [T.StructField(FACT_DAY, T.DateType()), T.StructField(LOAD_ID, T.StringType())]
         ),
         [FACT_DAY, LOAD_ID],
+        schemas.FACT_KEY,
+        tables.fact_buckets,
     )
     ensure_table(spark, tables.daily, schemas.DAILY, ["day_start"])
-    ensure_table(spark, tables.batch_log, schemas.BATCH_LOG)
+    ensure_table(spark, tables.batch_log, schemas.BATCH_LOG, [ARRIVED])
+    ensure_table(spark, tables.pickup_marks, schemas.PICKUP_MARKS, [ARRIVED])
+    ensure_table(spark, tables.day_changes, schemas.DAY_CHANGES, ["month"])
     ensure_table(spark, tables.load_starts, schemas.LOAD_STARTS)
     ensure_table(spark, tables.run_log, schemas.RUN_LOG, ["kind"])
     refresh(spark, tables)
@@ -136,13 +169,17 @@ def refresh(spark: SparkSession, tables: Tables) -> None:
         tables.batch_log,
         tables.load_starts,
         tables.run_log,
+        tables.pickup_marks,
+        tables.day_changes,
     ):
         spark.catalog.refreshTable(table)
 
 
 def append(df: DataFrame, table: str) -> None:
-    """Append by column name, in one commit."""
+    """Append by column name, in one commit; a day of arrival is today unless given."""
     target = df.sparkSession.table(table)
+    if ARRIVED in target.columns and ARRIVED not in df.columns:
+        df = df.withColumn(ARRIVED, F.current_date())
     df.select(*target.columns).write.mode("append").insertInto(table)
 
 
@@ -162,6 +199,12 @@ def drop_load(spark: SparkSession, table: str, load_id: str) -> None:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
 
+def last_partition(spark: SparkSession, table: str) -> str | None:
+    """The largest value of a table's one partition column, from the catalog alone."""
+    names = [r.partition.split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return max((unquote(n) for n in names if n != NO_VALUE), default=None)
+
+
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed name of the partition of NULL
 
 

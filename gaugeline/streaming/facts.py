@@ -12,7 +12,8 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.operators import silver
+from gaugeline.operators import upsert
+from gaugeline.operators.joins import lookup_join
 from gaugeline.plans import facts
 from gaugeline.session import configure
 from gaugeline.sources import catalog
@@ -41,15 +42,20 @@ def stream_facts(
         """One commit an epoch: a replay undoes what a stopped attempt left, or does nothing."""
         session = rows.sparkSession
         catalog.refresh(session, tables)
-        facts.undo_unfinished(session, tables)
-        log = session.table(tables.batch_log)
+        # Only one query runs on a checkpoint, so open loads of this stream are dead.
+        facts.undo_unfinished(session, tables, own=f"{stream}@")
+        last = rows.agg(F.max(catalog.ARRIVED)).first()[0]
+        if last is None:
+            return
+        log = session.table(tables.batch_log).where(upsert.values_filter(rows, catalog.ARRIVED))
         own = F.startswith(F.col(catalog.LOAD_ID), F.lit(f"{stream}@"))
         this = F.startswith(F.col(catalog.LOAD_ID), F.lit(f"{stream}@{epoch}@"))
         if not log.where(this).isEmpty():
             return
         # Batches that other loads brought are done; a batch of this stream may go on.
-        fresh = silver.unprocessed_batches(rows, log.where(~own))
-        facts.load_batches(fresh, tables, f"{stream}@{epoch}@{uuid.uuid4().hex}", run_ts)
+        names = [catalog.ARRIVED, "batch_id"]
+        fresh = lookup_join(rows, log.where(~own).select(*names).distinct(), names, "left_anti")
+        facts.load_batches(fresh, tables, f"{stream}@{epoch}@{uuid.uuid4().hex}", run_ts, last)
 
     reader = spark.readStream
     if files_per_trigger is not None:

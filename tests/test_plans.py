@@ -46,7 +46,9 @@ def page(results, number=1, **feed):
 
 
 def contents(spark, table, drop=("load_id",)):
-    return Counter(map(tuple, spark.table(table).drop(*drop).collect()))
+    """Rows with their numbers; sums of doubles depend on their order in the last digits."""
+    rows = spark.table(table).drop(*drop).collect()
+    return Counter(tuple(round(v, 9) if isinstance(v, float) else v for v in row) for row in rows)
 
 
 def bronze_rows(spark, rows):
@@ -214,7 +216,10 @@ def test_half_an_append_is_undone(spark, tables):
     staged = facts.stage(spark.table(tables.bronze_measurements), tables, "lost", NOW)
     facts.append_facts(staged.where("value < 5"), tables, NOW, "lost")
     assert spark.table(tables.fact).count() == 6
-    assert facts.transform_measurements(spark, tables, NOW) == 1
+    with pytest.raises(facts.LoadConflict, match="lost"):  # it may be at work
+        facts.transform_measurements(spark, tables, NOW)
+    assert spark.table(tables.fact).count() == 6
+    assert facts.transform_measurements(spark, tables, NOW, stale_after=timedelta(0)) == 1
     assert spark.table(tables.fact).count() == 11
     assert spark.table(tables.staging).count() == 11
     assert facts.transform_measurements(spark, tables, NOW) == 0
