@@ -166,6 +166,13 @@ def bronze_pack_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return packed.select("location_id", fits, document)
 
 
+def bronze_pack_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of at most seven documents, as they are: large groups are cut in order as well."""
+    return bronze.pack_documents(
+        sample.readings(spark, sf), ["parameter_id"], ["event_id"], sample.measurement_document(), 7
+    )
+
+
 def values_limits(spark: SparkSession, sf: str) -> DataFrame:
     """Inline constants against the readings: how many there are and exceed them."""
     joined = sample.events(spark, sf).join(limits.limits(spark), "parameter_id", "inner")
@@ -885,6 +892,14 @@ WHERE page < coalesce(stop_before, 99) AND page <= coalesce(stop_after, 99)""",
         "bronze_pack_chunks": f"""
 WITH {_READINGS}
 SELECT location_id, true AS fits, {_DOCUMENT} AS document FROM readings""",
+        "bronze_pack_order": f"""
+WITH {_READINGS}, docs AS (
+  SELECT parameter_id, event_id, {_DOCUMENT} AS doc,
+         (row_number() OVER (PARTITION BY parameter_id ORDER BY event_id) - 1) // 7 AS cut
+  FROM readings)
+SELECT parameter_id, CAST(count(*) AS INTEGER) AS rows_fetched,
+       '[' || string_agg(doc, ',' ORDER BY event_id) || ']' AS api_payload
+FROM docs GROUP BY parameter_id, cut""",
         "values_limits": f"""
 WITH {_READINGS},
 limits AS (SELECT * FROM (VALUES (2, 20), (1, 45), (3, 120), (5, 50), (6, 50), (4, 4000))
@@ -893,11 +908,14 @@ SELECT parameter_id, max_limit, count(*) AS readings,
        count(*) FILTER (WHERE value > max_limit) AS above_limit
 FROM readings JOIN limits USING (parameter_id) GROUP BY parameter_id, max_limit""",
         "bronze_pack": f"""
-WITH {_READINGS}, docs AS (SELECT *, {_DOCUMENT} AS doc FROM readings)
+WITH {_READINGS}, docs AS (
+  SELECT *, {_DOCUMENT} AS doc, (row_number() OVER (
+    PARTITION BY sensor_id, parameter_id, location_id, country_code ORDER BY event_id) - 1) // 1000 AS cut
+  FROM readings)
 SELECT sensor_id, parameter_id, location_id, country_code,
        CAST(count(*) AS INTEGER) AS rows_fetched,
        '[' || string_agg(doc, ',' ORDER BY event_id) || ']' AS api_payload
-FROM docs GROUP BY sensor_id, parameter_id, location_id, country_code""",
+FROM docs GROUP BY sensor_id, parameter_id, location_id, country_code, cut""",
         "batch_stamp": f"""
 WITH {_READINGS}
 SELECT 'run-1' AS batch_id, sensor_id, CAST(parameter_id AS VARCHAR) AS parameter_id,
@@ -1143,6 +1161,7 @@ _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     values_limits,
     bronze_pack,
     bronze_pack_chunks,
+    bronze_pack_order,
     batch_stamp,
     append_roundtrip,
     project_columns,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions.instants import utc
 from gaugeline.operators.joins import lookup_join
+from gaugeline.session import materialise
 from gaugeline.sources.landing import PAGE_LIMIT
 
 
@@ -35,45 +36,71 @@ def pack_documents(
     document: Column,
     max_documents: int = PAGE_LIMIT,
 ) -> DataFrame:
-    """Pack the documents of each group into rows of at most ``max_documents``.
+    """Pack the documents of each group into rows of ``max_documents``, the last may be shorter.
 
-    A group that fits makes one row, ordered by ``identity``. A larger group is
-    first split by a hash of ``identity``, the columns that tell its documents
-    apart, into as many parts as it needs rows, so that no task receives the whole
-    group; parts are then cut at exactly ``max_documents``.
+    A group is cut in order of ``identity``, the columns that tell its documents apart,
+    whatever its size; documents of one identity follow in order of their content. Groups
+    that fit into one row are gathered at once; larger ones get their places from a sort
+    by ranges (``ranked``), so no task receives a whole one. NULL keys are groups, too.
     """
     keys = list(keys)
-    rows = documents.withColumns(
-        {
-            # A hash stands in for the key so that NULL keys are counted and split too.
-            "__key": F.xxhash64(F.lit(0), *keys),
-            "__id": F.struct(*identity),
-        }
+    rows = documents.select(
+        # A hash stands in for the key so that NULL keys are counted and split too.
+        F.xxhash64(F.lit(0), *keys).alias("__key"),
+        F.struct(F.lit(0).alias("none"), *keys).alias("__group"),
+        F.struct(*identity).alias("__id"),
+        document.alias("__content"),
     )
-    large = (
-        rows.groupBy("__key")
-        .count()
-        .where(F.col("count") > max_documents)
-        .select("__key", F.ceil(F.col("count") / max_documents).alias("__parts"))
+    large = materialise(
+        rows.groupBy("__key").count().where(F.col("count") > max_documents).select("__key"), "large-groups"
     )
-    part = F.pmod(F.xxhash64("__id"), F.coalesce("__parts", F.lit(1)))
-    parted = lookup_join(rows, large, ["__key"], "left").withColumn("__part", part)
-    order = Window.partitionBy(*keys, "__part").orderBy("__id")
-    numbered = parted.withColumn(
-        "__cut", F.floor((F.row_number().over(order) - 1) / max_documents)
+    small = rows.withColumn("__cut", F.lit(0).cast("bigint"))
+    if not large.isEmpty():
+        small = lookup_join(small, large, ["__key"], "left_anti")
+        among = lookup_join(rows, large, ["__key"], "left_semi")
+        cut = F.floor((F.col("__rank") - 1) / max_documents)
+        placed = ranked(among, ["__key", "__group"], ["__id", "__content"]).withColumn("__cut", cut)
+        small = small.unionByName(placed.drop("__rank"))
+    # Documents become text after the shuffle, which so carries their bare columns.
+    texts = small.select("__group", "__cut", F.struct("__id", F.to_json("__content").alias("text")).alias("__doc"))
+    packed = F.transform(F.array_sort(F.collect_list("__doc")), lambda x: x["text"])
+    return texts.groupBy("__group", "__cut").agg(
+        F.count("*").cast("int").alias("rows_fetched"),
+        F.concat(F.lit("["), F.array_join(packed, ","), F.lit("]")).alias("api_payload"),
+    ).select(*[F.col(f"__group.{k}") for k in keys], "rows_fetched", "api_payload")
+
+
+def ranked(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``rows`` with ``__rank``, their place from 1 in their group by ``order``.
+
+    Rows are dealt out by ranges of group and order and sorted there; copies of one row
+    are told apart by where they came from, so that even they are dealt over tasks. A
+    range counts the rows of its groups; a group's rows in earlier ranges are added. The
+    counts are one row for each group and one for each range.
+    """
+    sort = [*group, *order, "__from"]
+    placed = rows.withColumn("__from", F.spark_partition_id()).repartitionByRange(*sort)
+    # The number tells the range in its upper and the place there in its lower bits.
+    numbered = materialise(
+        placed.sortWithinPartitions(*sort).drop("__from").withColumn("__at", F.monotonically_increasing_id()),
+        "ranked",
+    ).withColumns({"__range": F.shiftright("__at", 33), "__at": F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))})
+    by_range = [F.col(c) for c in group]
+    counts = numbered.groupBy(*by_range, "__range").agg(
+        F.min("__at").alias("__first"), F.count("*").alias("__n")
     )
-    # Documents are built after the shuffle, which so carries their bare columns.
-    texts = numbered.select(
-        *keys, "__part", "__cut", F.struct("__id", F.to_json(document).alias("text")).alias("__doc")
+    earlier = Window.partitionBy(*by_range).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        # Hashes join NULL keys as well.
+        F.xxhash64(*by_range).alias("__hash"),
+        "__range",
+        (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first") + 1).alias("__shift"),
     )
-    packed = F.transform(F.array_sort(F.collect_list("__doc")), lambda x: x["text"])
+    hashed = numbered.withColumn("__hash", F.xxhash64(*by_range))
     return (
-        texts.groupBy(*keys, "__part", "__cut")
-        .agg(
-            F.count("*").cast("int").alias("rows_fetched"),
-            F.concat(F.lit("["), F.array_join(packed, ","), F.lit("]")).alias("api_payload"),
-        )
-        .drop("__part", "__cut")
+        lookup_join(hashed, starts, ["__hash", "__range"], "inner")
+        .withColumn("__rank", F.col("__at") + F.col("__shift"))
+        .drop("__hash", "__range", "__at", "__shift")
     )
 
 

@@ -38,6 +38,22 @@ def test_large_groups_split_without_loss(spark):
     assert sum(1 for r in rows if r.k == 3) == 1
 
 
+def test_groups_are_cut_in_order_at_any_size(spark):
+    """Sizes around the limit, one group over all ranges, copies of one document."""
+    documents = [(k, i, -i) for k, n in ((1, 19), (2, 20), (3, 21), (4, 40), (None, 1_203)) for i in range(n)]
+    documents += [(5, 7, 7)] * 131
+    rows = pack(spark, documents, 20)
+    groups = {}
+    for row in rows:
+        found = json.loads(row.api_payload)
+        groups.setdefault(row.k, []).append([(d["id"], d["v"]) for d in found])
+    for k, parts in groups.items():
+        expected = sorted((i, v) for key, i, v in documents if key == k)
+        parts.sort(key=lambda part: (part[0], -len(part)))
+        assert parts == [expected[at : at + 20] for at in range(0, len(expected), 20)]
+    assert set(groups) == {1, 2, 3, 4, 5, None}
+
+
 def test_no_documents_no_row(spark):
     assert pack(spark, [], 20) == []
 
