@@ -284,6 +284,12 @@ def format_duration(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def format_duration_fractions(spark: SparkSession, sf: str) -> DataFrame:
+    """Durations in quarters of a second."""
+    seconds = F.floor(F.col("value") * 100) / 4
+    return sample.table(spark, sf, "events").select("event_id", values.duration_text(seconds).alias("duration"))
+
+
 # --- silver --------------------------------------------------------------------------
 
 
@@ -611,6 +617,17 @@ def run_log(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def load_log(spark: SparkSession, sf: str) -> DataFrame:
+    """What the loads of two runs logged: readings staged, inserted and rejected."""
+    log = spark.table(_ingested(spark, sf).run_log).where("kind = 'load'")
+    return log.select("staged", "inserted", "rejected_payloads", "rejected_instants")
+
+
+def pages_to_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed pages to daily statistics, in two runs."""
+    return _rounded(spark.table(_ingested(spark, sf).daily))
+
+
 def backlog_run(spark: SparkSession, sf: str) -> DataFrame:
     """A batch for each day, each with the day after as well, all pending at once."""
     configure(spark)
@@ -961,6 +978,11 @@ FROM events""",
 WITH s AS (SELECT event_id, CAST(floor(value * 100) AS BIGINT) AS secs FROM events)
 SELECT event_id, printf('%02d:%02d:%05.2f', secs // 3600, (secs // 60) % 60,
                         CAST(secs % 60 AS DOUBLE)) AS duration
+FROM s""",
+        "format_duration_fractions": """
+WITH s AS (SELECT event_id, floor(value * 100) / 4 AS secs FROM events)
+SELECT event_id, printf('%02d:%02d:%05.2f', CAST(floor(secs / 3600) AS BIGINT),
+                        CAST(floor(secs / 60) AS BIGINT) % 60, secs - 60 * floor(secs / 60)) AS duration
 FROM s""",
         "silver_explode": f"""
 WITH {_READINGS}
@@ -1138,6 +1160,13 @@ SELECT batch_id AS run_id, c.country_code, window_to AS ingestion_window_datetim
        count(DISTINCT sensor_id) AS bronze_rows, count(sensor_id) AS documents
 FROM (SELECT DISTINCT country_code FROM readings WHERE country_code IS NOT NULL) c
 CROSS JOIN windows LEFT JOIN came USING (batch_id, country_code, window_to) GROUP BY ALL""",
+        "load_log": f"""
+WITH {_INGESTED}
+SELECT count(*) AS staged, count(*) AS inserted, 0 AS rejected_payloads, 0 AS rejected_instants
+FROM came GROUP BY batch_id""",
+        "pages_to_daily": f"""
+WITH {_INGESTED}
+{_stats_sql("came")}""",
         "backlog_run": f"""
 WITH {_READINGS}, twice AS (
   SELECT *, day(ts) AS d FROM readings
@@ -1172,6 +1201,7 @@ _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     parse_iso_ts,
     format_iso,
     format_duration,
+    format_duration_fractions,
     silver_explode,
     raw_json,
     latest_snapshot,
@@ -1199,6 +1229,8 @@ _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     dimensions_run_sensors,
     ingest_run,
     run_log,
+    load_log,
+    pages_to_daily,
     backlog_run,
     alert_run,
     facts_run,
