@@ -8,12 +8,11 @@ written out again they are canonical.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from gaugeline.session import materialise
+from gaugeline.session import materialise, scratch_dir
 
 KEY = ["conv_id", "call_id"]
 SCHEMA_FIELDS = (
@@ -99,25 +98,113 @@ def argument_errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     )
 
 
-def levels(edges: DataFrame) -> tuple[DataFrame | None, DataFrame]:
-    """Topological levels of (conv_id, call_id, needs): those above zero, and calls in cycles.
+def levels(edges: DataFrame) -> DataFrame:
+    """Topological levels of (conv_id, call_id, needs): one row for each call that needs any.
+
+    Level n needs a call of level n - 1; it is NULL where a call needs itself in the end,
+    or one that does. ``needs`` names known calls.
 
-    Level n needs a call of level n - 1; one round a level. ``needs`` names known calls.
+    Calls with one need form chains, which are contracted first: each jumps to what its
+    need has jumped to, so a chain of n calls takes log n rounds. What is left are the
+    calls with several needs; they settle one level of them a round. Every round is
+    written, so plans do not grow with depth.
     """
     edges = materialise(edges.distinct(), "chat-needs")
-    open_calls, settled, level = edges.select(*KEY).distinct().count(), [], 0
-    while open_calls:
-        level += 1
-        waiting = edges.select("conv_id", F.col("call_id").alias("needs")).distinct()
-        rest = materialise(edges.join(waiting, ["conv_id", "needs"], "left_semi"), "chat-needs")
-        left = rest.select(*KEY).distinct().count()
-        if left == open_calls:
+    counts = edges.groupBy(*KEY).agg(F.count("*").alias("n"), F.max("needs").alias("end"))
+    kinds = counts.select("conv_id", F.col("call_id").alias("end"), (F.col("n") == 1).alias("goes_on"))
+    jumps = materialise(
+        counts.where("n = 1")
+        .drop("n")
+        .join(kinds, ["conv_id", "end"], "left")
+        # What a chain ends at: a call without needs (NULL) or one with several (false).
+        .select(*KEY, "end", F.lit(1).alias("length"), "goes_on"),
+        "chat-jumps",
+    )
+    left = jumps.where("goes_on").count()
+    while left:
+        over = jumps.select(
+            "conv_id",
+            F.col("call_id").alias("end"),
+            F.col("end").alias("next"),
+            F.col("length").alias("more"),
+            F.col("goes_on").alias("still"),
+        )
+        moved = jumps.where("goes_on").join(over, ["conv_id", "end"])
+        jumps = materialise(
+            moved.select(
+                *KEY,
+                F.col("next").alias("end"),
+                (F.col("length") + F.col("more")).alias("length"),
+                F.col("still").alias("goes_on"),
+            ).union(jumps.where("goes_on is null or not goes_on")),
+            "chat-jumps",
+        )
+        before, left = left, jumps.where("goes_on").count()
+        if left == before:  # all that go on go round
             break
-        done = edges.select(*KEY).distinct().join(rest, KEY, "left_anti")
-        settled.append(done.withColumn("level", F.lit(level)))
-        edges, open_calls = rest, left
-    found = reduce(DataFrame.union, settled) if settled else None
-    return found, edges.select(*KEY).distinct()
+    chained = jumps.where("goes_on is null").select(*KEY, F.col("length").alias("level"))
+    round_ = jumps.where("goes_on").select(*KEY, F.lit(None).cast("int").alias("level"))
+    several = counts.where("n > 1").select(*KEY)
+    if several.isEmpty():
+        return chained.union(round_)
+    settled = _settled(edges, jumps, several)
+    ends = settled.select("conv_id", F.col("call_id").alias("end"), F.col("level").alias("base"))
+    hanging = jumps.where("not goes_on").join(ends, ["conv_id", "end"], "left")
+    return (
+        chained.union(round_)
+        .union(hanging.select(*KEY, F.col("length") + F.col("base")))
+        .union(several.join(settled, KEY, "left"))
+    )
+
+
+def _settled(edges: DataFrame, jumps: DataFrame, several: DataFrame) -> DataFrame:
+    """(conv_id, call_id, level) of the calls with several needs that do not go round."""
+    to_chain = jumps.select(
+        "conv_id", F.col("call_id").alias("needs"), F.col("end").alias("anchor"), "length", "goes_on"
+    )
+    to_several = several.select("conv_id", F.col("call_id").alias("needs"), F.lit(True).alias("waits"))
+    chain = F.col("length").isNotNull()
+    anchor = (
+        F.when(F.col("waits"), F.col("needs"))
+        # A chain that goes round is waited for in vain: by its own name.
+        .when(F.col("goes_on"), F.col("needs"))
+        .when(chain & F.col("goes_on").isNotNull(), F.col("anchor"))
+    )
+    open_edges = materialise(
+        edges.join(several, KEY, "left_semi")
+        .join(to_chain, ["conv_id", "needs"], "left")
+        .join(to_several, ["conv_id", "needs"], "left")
+        .select(*KEY, anchor.alias("anchor"), (F.coalesce("length", F.lit(0)) + 1).alias("height"))
+        .groupBy(*KEY, "anchor")
+        .agg(F.max("height").alias("height")),
+        "chat-waiting",
+    )
+    spark, path = edges.sparkSession, scratch_dir(edges.sparkSession, "chat-settled")
+    schema = StructType([*several.schema.fields, StructField("level", IntegerType())])
+    spark.createDataFrame([], schema).write.parquet(path)
+    while True:
+        ready = materialise(
+            open_edges.groupBy(*KEY)
+            .agg(F.max("height").cast("int").alias("level"), F.count("anchor").alias("waits"))
+            .where("waits = 0")
+            .drop("waits"),
+            "chat-ready",
+        )
+        if ready.isEmpty():
+            return spark.read.schema(schema).parquet(path)
+        ready.write.mode("append").parquet(path)
+        bases = ready.select("conv_id", F.col("call_id").alias("anchor"), F.col("level").alias("base"))
+        rest = open_edges.join(ready, KEY, "left_anti").join(bases, ["conv_id", "anchor"], "left")
+        open_edges = materialise(
+            rest.select(
+                *KEY,
+                F.when(F.col("base").isNull(), F.col("anchor")).alias("anchor"),
+                (F.col("height") + F.coalesce("base", F.lit(0))).alias("height"),
+            )
+            .groupBy(*KEY, "anchor")
+            .agg(F.max("height").alias("height")),
+            "chat-waiting",
+        )
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -145,12 +232,10 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     )
     wanted = firsts.select(*KEY, F.explode("needs").alias("needs"))
     known = firsts.select("conv_id", F.col("call_id").alias("needs"))
-    above, cyclic = levels(wanted.join(known, ["conv_id", "needs"], "left_semi"))
+    above = levels(wanted.join(known, ["conv_id", "needs"], "left_semi"))
     joined = firsts.join(answers, KEY, "full").join(argument_errors(firsts, schemas), KEY, "left")
-    joined = joined.join(cyclic.withColumn("cyclic", F.lit(True)), KEY, "left")
-    joined = (
-        joined.join(above, KEY, "left") if above is not None else joined.withColumn("level", F.lit(None).cast("int"))
-    )
+    round_ = F.when(F.col("level").isNull(), True).alias("cyclic")
+    joined = joined.join(above.select(*KEY, "level", round_), KEY, "left")
     called = F.col("n").isNotNull()
     status = (
         F.when(~called, "orphan")
