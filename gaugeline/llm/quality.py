@@ -101,7 +101,10 @@ KEYS = ("doc_id", "host", "text_hash")
 
 
 def frequent_lines(rows: DataFrame, min_docs: int, min_share: float) -> DataFrame:
-    """(host, line) of lines in more documents of a host than both limits allow."""
+    """(host, line) of lines in more documents of a host than both limits allow.
+
+    Documents of one text count once on either side, so copies move neither limit.
+    """
     seen = (
         rows.select("host", "text_hash", F.explode("lines.line").alias("line"))
         .distinct()
@@ -109,7 +112,7 @@ def frequent_lines(rows: DataFrame, min_docs: int, min_share: float) -> DataFram
         .agg(F.count("*").alias("docs"))
         .where(F.col("docs") > min_docs)
     )
-    hosts = rows.groupBy("host").agg(F.count("*").alias("host_docs"))
+    hosts = rows.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
     return (
         seen.join(hosts, "host")
         .where(F.col("docs") > min_share * F.col("host_docs"))
@@ -130,7 +133,7 @@ def judge(
     ``base_failed``: too few words, or too many of them in repeated windows. ``kept`` is
     false for these and where less than ``min_left_percent`` of the words are left when
     the lines in ``removed`` are gone: lines found in more than ``min_docs`` documents
-    and more than ``min_share`` of the documents of their source.
+    and more than ``min_share`` of the documents of their source, each text counted once.
 
     A missing text has no words and fails; documents without source share one host;
     repeated rows are judged like any other and count once for line frequency, as they

@@ -56,7 +56,7 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 OP4_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host,
-         coalesce(text, '') AS t FROM documents
+         coalesce(text, '') AS t, coalesce('t' || text, 'null') AS content FROM documents
 ), w AS (
   SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d
 ), triples AS (
@@ -69,30 +69,21 @@ WITH d AS (
   SELECT r, count(DISTINCT pos) AS n_repeat_words
   FROM (SELECT r, i + unnest([0, 1, 2]) AS pos FROM again) GROUP BY r
 ), split AS (
-  SELECT r, host, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS raw_pos
-  FROM (SELECT r, host, string_split(t, chr(10)) AS ls FROM d)
+  SELECT r, host, unnest(string_split(t, chr(10))) AS line FROM d
 ), lines AS (
-  SELECT r, host, line, row_number() OVER (PARTITION BY r ORDER BY raw_pos) AS pos,
-         regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  SELECT r, host, line, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
   FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), dups AS (
   SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY r
-), placed AS (
-  SELECT r, host, array_to_string(ws, ' ') AS norm, len(ws) AS words, pos,
-         lag(array_to_string(ws, ' ')) OVER (PARTITION BY r ORDER BY pos) AS before,
-         lead(array_to_string(ws, ' ')) OVER (PARTITION BY r ORDER BY pos) AS after
-  FROM lines
 ), once AS (
-  SELECT r, host, norm, sum(words) AS words, arg_min(coalesce('<' || before, ''), pos) AS before,
-         arg_min(coalesce('>' || after, ''), pos) AS after
-  FROM placed GROUP BY r, host, norm
+  SELECT r, host, array_to_string(ws, ' ') AS norm, sum(len(ws)) AS words
+  FROM lines GROUP BY ALL
 ), frequent AS (
   SELECT host, norm
-  FROM (SELECT host, norm, before, after, count(*) AS docs FROM once GROUP BY ALL)
-  JOIN (SELECT host, count(*) AS host_docs FROM d GROUP BY host) USING (host)
-  GROUP BY host, norm, host_docs
-  HAVING count(*) > 10 AND 2 * count(*) > sum(docs) AND count(*) > 0.01 * host_docs
+  FROM (SELECT o.host, norm, count(DISTINCT content) AS docs FROM once o JOIN d USING (r) GROUP BY ALL)
+  JOIN (SELECT host, count(DISTINCT content) AS host_docs FROM d GROUP BY host) USING (host)
+  WHERE docs > 10 AND docs > CAST(0.01 AS DOUBLE) * host_docs
 ), gone AS (
   SELECT r, sum(words) AS gone FROM once JOIN frequent USING (host, norm) GROUP BY r
 ), counted AS (

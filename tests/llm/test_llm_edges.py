@@ -106,6 +106,16 @@ def test_footer_of_three_lines_is_frequent(spark):
     assert all(judged[100 + i]["removed"] is None for i in range(30))
 
 
+def test_copies_move_no_limit_of_line_frequency(spark):
+    """A footer of 30 texts stays furniture beside 4,000 copies of another text of the host."""
+    footer = "imprint and contact\nall rights reserved here\nterms of use"
+    rows = [(i, f"text number {i} " + f"own{i} " * 9 + "\n" + footer, "h") for i in range(30)]
+    rows += [(100 + i, "copied first line\ncopied second line", "h") for i in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    judged = quality.judge(docs, min_words=1).where("doc_id < 30").collect()
+    assert len(judged) == 30 and all(len(r["removed"]) == 3 for r in judged)
+
+
 @pytest.mark.parametrize("tag", ['<svg class="i"/>', '<svg class="i">', "<select><option>a", "<template>", "<noscript>"])
 @pytest.mark.parametrize("later", ["", "<footer><svg><path/></svg></footer>"])
 def test_an_element_left_open_leaves_the_article(tag, later):
