@@ -330,15 +330,16 @@ def labelled(pages: list[str], copies: int = 2) -> list[tuple[list[Block], list[
 def train(pages: DataFrame, sample_pages: int = 200) -> Model:
     """A model from ``sample_pages`` pages at most that mark their article up.
 
-    The pages are chosen by a hash of their markup: about as many are drawn where they
-    lie, so what is sorted does not grow with the table. Without any such page every block
-    counts as article.
+    The pages are those of the smallest hashes of their markup. Hashes are drawn among
+    different ones, so a page that repeats however often counts once, and only the pages
+    of the drawn hashes are gathered. Without any such page every block counts as article.
     """
-    marked = pages.where(F.lower("html").contains("<article")).select("html")
-    span = 1 << 40
-    share = min(1.0, sample_pages / max(1, marked.count()))
-    drawn = marked.where(F.pmod(F.xxhash64("html"), F.lit(span)) < int(share * span)).distinct()
-    chosen = drawn.orderBy(F.xxhash64("html"), "html").limit(sample_pages)
+    marked = pages.where(F.lower("html").contains("<article")).select(
+        "html", F.xxhash64("html").alias("hash")
+    )
+    drawn = [row["hash"] for row in marked.select("hash").distinct().orderBy("hash").limit(sample_pages).collect()]
+    last = drawn[-1] if drawn else 0
+    chosen = marked.where(F.col("hash") <= last).distinct().orderBy("hash", "html").limit(sample_pages)
     return fit(labelled([row["html"] for row in chosen.collect()]))
 
 

@@ -88,6 +88,18 @@ def test_pages_of_any_kind(spark):
     assert extraction.extract(spark.createDataFrame([], schema), model).count() == 0
 
 
+def test_training_pages_are_drawn_among_different_ones(spark):
+    """One page repeated very often leaves the others in the draw."""
+    one = "<nav><a>home</a><a>about us</a></nav><article><p>{}</p><p>{}</p></article><footer>all rights reserved</footer>"
+    texts = [(f"Story number {i} begins here, with words.", f"It goes on for {i * 3} lines and ends.") for i in range(40)]
+    rows = [(i, "u", one.format(*text)) for i, text in enumerate(texts)]
+    rows += [(100 + i, "u", one.format("The same page once more.", "It is always the same.")) for i in range(3_000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    model = extraction.train(pages)
+    found = {r["page_id"]: r["text"] for r in extraction.extract(pages.where("page_id < 40"), model).collect()}
+    assert found == {i: " ".join(text) for i, text in enumerate(texts)}
+
+
 def test_chain_without_labels(spark, odd_documents):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     chain = toxicity.train(odd_documents, labels, stages.CATEGORIES)
