@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,7 @@ from gaugeline.plans.alert import run_alert  # noqa: E402
 from gaugeline.session import configure, materialise, scratch_dir  # noqa: E402
 from gaugeline.sources import catalog, landing, limits  # noqa: E402
 from gaugeline.streaming.facts import stream_facts  # noqa: E402
+from gaugeline.streaming.pages import stream_pages  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -40,6 +41,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_TS = datetime(2024, 2, 1, 6, 30, 0, 250000, tzinfo=timezone.utc)
 FIRST_RUN_TS = datetime(2024, 1, 16, 0, 0, tzinfo=timezone.utc)
 SECOND_RUN_TS = datetime(2024, 1, 16, 12, 0, tzinfo=timezone.utc)
+BUSY_RUN_TS = datetime(2024, 1, 6, 18, 0, tzinfo=timezone.utc)
 OVERLAP_FROM = datetime(2024, 1, 10, 0, 0, tzinfo=timezone.utc)
 PLAN_TS = datetime(2024, 1, 31, 0, 0, tzinfo=timezone.utc)
 AS_OF = date(2024, 2, 10)
@@ -609,6 +611,33 @@ def ingest_run(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stream_pages_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of two readings, dealt over five micro-batches whatever their feed, to bronze."""
+    configure(spark)
+    tables, path = _tables(spark), scratch_dir(spark, "landing")
+    number = F.floor(F.col("location_id") / landing.PAGE_LIMIT).cast("int") + 1
+    places = sample.location_documents(spark, sf).withColumn("page", number)
+    sample.land(bronze.pack_documents(places, ["page"], ["location_id"], F.col("document")), path, "d")
+    dimension_plan.run_dimensions(spark, tables, "d", BUSY_RUN_TS, path)
+    within = Window.partitionBy("sensor_id").orderBy("event_id")
+    page = F.floor((F.row_number().over(within) - 1) / 2).cast("int") + 1
+    failed = (F.col("sensor_id") + F.col("page")) % 5 == 0
+    documents = sample.events(spark, sf).withColumn("page", page).withColumn("status", F.when(failed, 500).otherwise(200))
+    pages = bronze.pack_documents(
+        documents, ["sensor_id", "page", "status"], ["event_id"], sample.measurement_document()
+    )
+    sample.land(pages.repartition(5), path, "m")
+    checkpoint = scratch_dir(spark, "stream-pages")
+    stream_pages(spark, tables, "m", BUSY_RUN_TS, path, checkpoint, None, 1, page_limit=2, complete=True)
+    items = F.explode(F.from_json("api_payload", schemas.MEASUREMENT_ITEMS))
+    return spark.table(tables.bronze_measurements).withColumn("item", items).select(
+        "sensor_id",
+        "country_code",
+        F.col("item.value").alias("value"),
+        F.col("item.period.datetimeFrom.utc").alias("from_utc"),
+    )
+
+
 def run_log(spark: SparkSession, sf: str) -> DataFrame:
     """What two runs logged for every country, windows without data among them."""
     log = spark.table(_ingested(spark, sf).run_log).where("kind = 'ingest'")
@@ -1154,6 +1183,17 @@ FROM readings WHERE location_id IN (SELECT c_custkey FROM customer)""",
 WITH {_INGESTED}
 SELECT batch_id, sensor_id, country_code, window_from AS ingestion_window_datetime_from, value,
        strftime(from_utc, '%Y-%m-%dT%H:%M:%SZ') AS from_utc FROM came""",
+        "stream_pages_run": f"""
+WITH {_READINGS}, paged AS (
+  SELECT *, (row_number() OVER (PARTITION BY sensor_id ORDER BY event_id) - 1) // 2 + 1 AS page
+  FROM readings
+), ends AS (
+  SELECT sensor_id, min(page) AS stop FROM paged WHERE (sensor_id + page) % 5 = 0 GROUP BY ALL
+)
+SELECT sensor_id, country_code, value, strftime(from_utc, '%Y-%m-%dT%H:%M:%SZ') AS from_utc
+FROM paged LEFT JOIN ends USING (sensor_id)
+WHERE country_code IS NOT NULL AND (stop IS NULL OR page < stop)
+  AND from_utc >= TIMESTAMP '2024-01-06 12:00:00' AND from_utc < TIMESTAMP '2024-01-06 16:00:00'""",
         "run_log": f"""
 WITH {_INGESTED}
 SELECT batch_id AS run_id, c.country_code, window_to AS ingestion_window_datetime_to,
@@ -1228,6 +1268,7 @@ _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     dimensions_run,
     dimensions_run_sensors,
     ingest_run,
+    stream_pages_run,
     run_log,
     load_log,
     pages_to_daily,

@@ -16,6 +16,8 @@ from gaugeline.operators.joins import lookup_join
 from gaugeline.session import configure, materialise
 from gaugeline.sources import catalog, landing
 
+# Planned sensors that pages meet by a broadcast; its bytes are bounded as well.
+PLAN_BROADCAST = 1_000_000
 BATCH_LOAD = "batch"
 UNNAMED_LOAD = "unnamed"
 
@@ -53,7 +55,7 @@ def ingest_measurements(
     plan = materialise(measurement_plan(spark, tables, run_ts, country_code), "plan")
     landed = landing.read_measurement_pages(spark, path, batch_id)
     # Pages nobody planned are dropped before the copy, which then serves twice.
-    planned = landing.landed_once(lookup_join(landed, plan, ["sensor_id"], "inner"))
+    planned = landing.landed_once(lookup_join(landed, plan, ["sensor_id"], "inner", PLAN_BROADCAST))
     pages = landing.page_prefix(planned, ["sensor_id"]).withColumn(
         "results",
         landing.within_window(F.col("results"), F.col("window_from"), F.col("window_to")),
@@ -67,10 +69,10 @@ def ingest_measurements(
     )
     catalog.append(rows, tables.bronze_measurements)
     written = spark.table(tables.bronze_measurements).where(F.col("batch_id") == batch_id)
-    _log_run(audit.ingested(plan, written, batch_id), tables, run_ts)
+    log_run(audit.ingested(plan, written, batch_id), tables, run_ts)
 
 
-def _log_run(rows: DataFrame, tables: catalog.Tables, run_ts: datetime) -> None:
+def log_run(rows: DataFrame, tables: catalog.Tables, run_ts: datetime) -> None:
     """Append run-log rows; what a kind of run does not count is NULL."""
     nothing = rows.sparkSession.createDataFrame([], schemas.RUN_LOG).drop("logged_at")
     full = nothing.unionByName(rows, allowMissingColumns=True)
@@ -285,7 +287,7 @@ def load_batches(
         raise
     fact = spark.table(tables.fact).where(F.col(catalog.LOAD_ID) == load_id)
     rejected = observation.get["rejected_payloads"]
-    _log_run(audit.loaded(staged, fact, load_id, rejected), tables, run_ts)
+    log_run(audit.loaded(staged, fact, load_id, rejected), tables, run_ts)
 
 
 def _today() -> date:

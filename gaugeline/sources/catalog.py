@@ -189,10 +189,10 @@ def replace_partitions(df: DataFrame, table: str) -> None:
     df.select(*target.columns).write.mode("overwrite").insertInto(table)
 
 
-def drop_load(spark: SparkSession, table: str, load_id: str) -> None:
-    """Drop the partitions one load wrote."""
+def drop_load(spark: SparkSession, table: str, load_id: str, column: str = LOAD_ID) -> None:
+    """Drop the partitions one load wrote, or those of one value of another ``column``."""
     quoted = load_id.replace("'", "\\'")
-    found = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({LOAD_ID}='{quoted}')").collect()
+    found = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({column}='{quoted}')").collect()
     for row in found:  # the days or batches of one load
         parts = dict(part.split("=", 1) for part in row.partition.split("/"))
         spec = ", ".join(f"{k}={_partition_literal(v)}" for k, v in parts.items())

@@ -56,6 +56,21 @@ def read_measurement_pages(
     return _read(spark, path, schemas.MEASUREMENT_PAGE, request)
 
 
+def stream_measurement_pages(
+    spark: SparkSession, path: str, request: str, files_per_trigger: int | None = None
+) -> DataFrame | None:
+    """Pages of one request as they land, as a stream; None while its folder is missing."""
+    reader = spark.readStream.schema(schemas.MEASUREMENT_PAGE)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    try:
+        return reader.json(request_folder(path, request))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def landed_once(pages: DataFrame) -> DataFrame:
     """The pages as a columnar copy with ``documents`` counted.
 
