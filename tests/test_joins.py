@@ -60,3 +60,41 @@ def test_lookup_join_beyond_the_broadcast_size(sides):
     assert Counter(map(tuple, small.select("k", "a", "v", "w").collect())) == Counter(
         map(tuple, large.select("k", "a", "v", "w").collect())
     )
+
+
+def test_few_but_heavy_rows_are_dealt(spark):
+    """Key 1 has 40 rows of 50 KB, key 2 has 40 narrow ones."""
+    pages = F.transform(F.sequence(F.lit(1), F.lit(50)), lambda x: F.lpad(x.cast("string"), 1000, "x"))
+    heavy = spark.range(40, numPartitions=4).select(F.lit(1).alias("k"), "id", pages.alias("results"))
+    narrow = spark.range(40, numPartitions=4).select(F.lit(2).alias("k"), "id", F.array(F.lit("x")).alias("results"))
+    left = heavy.union(narrow)
+    salts = joins.hot_salts(left, ["k"], 1000)
+    found = left.select("k", salts[F.xxhash64("k")].alias("n")).distinct().collect()
+    by_key = {r.k: r.n for r in found}
+    assert 7 <= by_key[1] <= 9 and by_key[2] is None
+    dealt = joins.deal(left, ["k"], salts)
+    assert dealt.where("k = 1").select(joins.SALT).distinct().count() >= 4
+    assert [r[0] for r in dealt.where("k = 2").select(joins.SALT).distinct().collect()] == [0]
+    right = spark.createDataFrame([(1, "a"), (2, "b")], "k int, w string")
+    assert joins.spread_join(left, right, ["k"], "inner", 1000).count() == 80
+
+
+def test_row_bytes_by_type(spark):
+    schema = "a int, s string, b binary, l array<string>, n array<int>, m map<string,int>, t struct<x:string,`y z`:int>"
+    rows = [(1, "äb", b"xyz", ["ab", None], [1, 2], {"k": 1}, ("abc", 2)), (None,) * 7]
+    df = spark.createDataFrame(rows, schema).withColumnRenamed("a", "a.b`c")
+    full, empty = [r[0] for r in df.select(joins.row_bytes(df)).collect()]
+    assert full == 8 + (3 + 8) + (3 + 8) + (2 + 8 + 8 + 8) + (16 + 8) + ((1 + 8 + 8) + (8 + 8) + 8) + (3 + 8 + 8 + 8)
+    assert empty < full
+
+
+def test_a_side_of_few_but_long_rows_is_not_broadcast(sides):
+    left, right = sides
+    long = right.withColumn("t", F.repeat(F.lit("x"), 5000))
+    plain = left.join(long, "k", "inner").select("k", "a", "v", "w")
+    small = joins.lookup_join(left, long, ["k"], "inner")
+    large = joins.lookup_join(left, long, ["k"], "inner", broadcast_bytes=50_000)
+    plans = [d._jdf.queryExecution().optimizedPlan().toString() for d in (small, large)]
+    assert ["strategy=broadcast" in p for p in plans] == [True, False]
+    for found in (small, large):
+        assert Counter(map(tuple, found.select("k", "a", "v", "w").collect())) == Counter(map(tuple, plain.collect()))
