@@ -194,24 +194,36 @@ def train(
     return fit_chain(found, rows[[f"_{n}" for n in names]].to_numpy(float), folds, names)
 
 
+LONGEST = 64  # characters of a word that is kept in the table
+ENTRY = 200  # bytes an entry takes beside its characters and features
+
+
 class Scorer:
-    """Log odds of texts; the table of words is bounded."""
+    """Log odds of texts; the table of words is bounded in bytes.
+
+    Longer words, as of texts without white space, are looked through each time.
+    """
 
-    def __init__(self, chain: Chain, table_size: int = 400_000):
-        self.chain, self.table_size = chain, table_size
+    def __init__(self, chain: Chain, table_bytes: int = 96 << 20):
+        self.chain, self.table_bytes, self.held = chain, table_bytes, 0
         self.known = set().union(*(m.weights for m in chain.models))
         self.table: dict[str, tuple[int, ...]] = {}
 
     def log_odds(self, text: str) -> list[float]:
         found: set[int] = set()
         table = self.table
-        if len(table) > self.table_size:
-            table.clear()
         for part in set(text.lower().split()):
             features = table.get(part)
             if features is None:
                 features = {f for w in LETTERS.findall(part) for f in features_of_word(w)}
-                features = table[part] = tuple(features & self.known)
+                features = tuple(features & self.known)
+                if len(part) <= LONGEST:
+                    size = ENTRY + 4 * len(part) + 40 * len(features)
+                    if self.held + size > self.table_bytes:
+                        table.clear()
+                        self.held = 0
+                    self.held += size
+                    table[part] = features
             if features:
                 found.update(features)
         before: list[float] = []
