@@ -19,7 +19,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import repeat
 
 import numpy as np
@@ -40,8 +40,8 @@ BANDS = 3
 LANGUAGES = 4
 FORMS = 16
 END = b""
-# Characters a task scores side by side: many times those of a long text, so lanes stay full.
-SLICE_CHARS = 16_000_000
+# Tokens a task handles side by side: many times those of a long text, so lanes stay full.
+SLICE_TOKENS = 2_500_000
 
 MARKED = re.compile(rb"[0-9#*$%&|<>]")
 SYMBOLS = "[0-9#*$%&|<>]"
@@ -200,24 +200,65 @@ def _to_tasks(docs: DataFrame, content: tuple) -> Broadcast:
     return docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(content))
 
 
-def _trained(docs: DataFrame, known, start: np.ndarray | None, rate: float, passes: int) -> np.ndarray:
-    """Mean weights of the networks that the tasks train on their documents, by tokens."""
-    vocab = _to_tasks(docs, (known, start))
+def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
+    """(doc_id, _row, codes: 32-bit codes of the tokens, others: its words outside the table), written once."""
+    vocab = _to_tasks(docs, known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pickle.loads(vocab.value)
+        for batch in batches:
+            for first, texts in slices(batch.column("text")):
+                coded = [known.encode(t) for t in texts]
+                sizes = [len(o) for _, o in coded]
+                words = pa.array([w for _, o in coded for w in o], pa.binary()).cast(pa.string())
+                times = pa.array([n for _, o in coded for n in o.values()], pa.int64())
+                ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                pairs = pa.StructArray.from_arrays([words, times], ["word", "n"])
+                yield pa.record_batch(
+                    [
+                        batch.column("doc_id").slice(first, len(texts)),
+                        pa.array([c.tobytes() for c, _ in coded], pa.binary()),
+                        pa.ListArray.from_arrays(ends, pairs),
+                    ],
+                    ["doc_id", "codes", "others"],
+                )
+
+    rows = docs.select("doc_id", "text").mapInArrow(run, ENCODED)
+    written = materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "lm-codes")
+    vocab.unpersist()
+    return written
+
+
+def _code_slices(column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first row, codes) of runs of rows of about ``SLICE_TOKENS`` tokens."""
+    start, held, size = 0, [], 0
+    for at, value in enumerate(column):
+        held.append(np.frombuffer(value.as_buffer(), np.int32))
+        size += len(held[-1])
+        if size >= SLICE_TOKENS:
+            yield start, held
+            start, held, size = at + 1, [], 0
+    if held:
+        yield start, held
+
+
+def _trained(rows: DataFrame, known: Vocabulary, start: np.ndarray | None, rate: float, passes: int) -> np.ndarray:
+    """Mean weights of the networks that the tasks train on their documents' codes, by tokens."""
+    vocab = _to_tasks(rows, (replace(known, codes={}), start))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, start = pickle.loads(vocab.value)
         net = fresh_network(known) if start is None else recurrent.Network(known.shape, start.copy())
         adam, done = recurrent.Adam(len(net.flat), rate), 0
         for batch in batches:
-            for _, texts in slices(batch.column("text"), SLICE_CHARS):
-                coded = [known.encode(t)[0] for t in texts]
+            for _, coded in _code_slices(batch.column("codes")):
                 for _ in range(passes):
                     done += recurrent.train(net, coded, known.map, adam)
         if done:
             columns = [np.arange(len(net.flat), dtype=np.int32), net.flat.astype(float) * done, np.full(len(net.flat), float(done))]
             yield pa.record_batch([pa.array(c) for c in columns], ["at", "weighted", "tokens"])
 
-    means = docs.select("text").mapInArrow(run, WEIGHTS).groupBy("at").agg(
+    means = rows.select("codes").mapInArrow(run, WEIGHTS).groupBy("at").agg(
         (F.sum("weighted") / F.sum("tokens")).alias("w")
     )
     found = means.toPandas().sort_values("at")  # one row for each weight of the network
@@ -227,58 +268,49 @@ def _trained(docs: DataFrame, known, start: np.ndarray | None, rate: float, pass
     return found["w"].to_numpy(np.float32)
 
 
-def train(docs: DataFrame, known: Vocabulary, warm_docs: int = 1500) -> np.ndarray:
-    """Weights learnt from all ``docs``: a start from some, then a pass of all tasks."""
-    count = max(1, docs.count())
+def train(rows: DataFrame, known: Vocabulary, warm_docs: int = 1500) -> np.ndarray:
+    """Weights learnt from all ``rows`` of ``encoded``: a start from some, then a pass of all tasks."""
+    count = max(1, rows.count())
     share = int(min(1.0, warm_docs / count) * 1_000_000)
-    chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < share
-    warm = docs.where(chosen).repartition(1)
+    # Rows are drawn by number: copies of one document are not drawn together.
+    chosen = F.pmod(F.xxhash64("_row"), F.lit(1_000_000)) < share
+    warm = rows.where(chosen).select("codes").repartition(1)
     start = _trained(warm, known, None, 0.01, 4)
-    return _trained(docs, known, start, 0.002, 1)
+    return _trained(rows, known, start, 0.002, 1)
 
 
-SCORED = (
-    "doc_id bigint, n_tokens bigint, in_table bigint, base double, model double, "
-    "others array<struct<word: string, n: bigint>>"
-)
-OTHERS = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+ENCODED = "doc_id bigint, codes binary, others array<struct<word: string, n: bigint>>"
+SCORED = "doc_id bigint, _row bigint, n_tokens bigint, in_table bigint, base double, model double"
 
 
-def score(docs: DataFrame, counts: DataFrame, known: Vocabulary, weights: np.ndarray) -> DataFrame:
-    """Known tokens, base and model score of every row of ``docs``."""
-    vocab = _to_tasks(docs, (known, weights))
+def score(rows: DataFrame, counts: DataFrame, known: Vocabulary, weights: np.ndarray) -> DataFrame:
+    """Known tokens, base and model score of every row of ``encoded``."""
+    vocab = _to_tasks(rows, (replace(known, codes={}), weights))
+    base = len(known.codes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weights = pickle.loads(vocab.value)
         net = recurrent.Network(known.shape, weights)
         for batch in batches:
-            for first, texts in slices(batch.column("text"), SLICE_CHARS):
-                coded = [known.encode(t) for t in texts]
-                codes = [c for c, _ in coded]
+            for first, codes in _code_slices(batch.column("codes")):
                 sizes = np.array([len(c) for c in codes])
                 owner = np.repeat(np.arange(len(codes)), sizes)
                 flat = np.concatenate(codes)
-                by_row = lambda v: np.bincount(owner, v[flat], len(codes))
-                told = (recurrent.score(net, codes, known.map) + by_row(known.share)) / np.log(10)
-                others = [[{"word": w.decode(), "n": n} for w, n in o.items()] for _, o in coded]
+                by_row = lambda v: np.bincount(owner, v, len(codes))
+                told = (recurrent.score(net, codes, known.map) + by_row(known.share[flat])) / np.log(10)
                 yield pa.record_batch(
                     [
-                        batch.column("doc_id").slice(first, len(texts)),
+                        batch.column("doc_id").slice(first, len(codes)),
+                        batch.column("_row").slice(first, len(codes)),
                         pa.array(sizes),
-                        pa.array(sizes - [o.total() for _, o in coded]),
-                        pa.array(by_row(known.log_count)),
+                        pa.array(by_row(flat < base).astype(np.int64)),
+                        pa.array(by_row(known.log_count[flat])),
                         pa.array(told),
-                        pa.array(others, OTHERS),
                     ],
-                    ["doc_id", "n_tokens", "in_table", "base", "model", "others"],
+                    ["doc_id", "_row", "n_tokens", "in_table", "base", "model"],
                 )
 
-    rows = materialise(
-        docs.select("doc_id", "text")
-        .mapInArrow(run, SCORED)
-        .withColumn("_row", F.monotonically_increasing_id()),
-        "lm-scores",
-    )
+    scored = rows.select("doc_id", "_row", "codes").mapInArrow(run, SCORED)
     met = (
         rows.select("_row", F.explode("others").alias("o"))
         .select("_row", "o.word", "o.n")
@@ -288,7 +320,7 @@ def score(docs: DataFrame, counts: DataFrame, known: Vocabulary, weights: np.nda
     )
     more = F.coalesce("more", F.lit(0.0))
     total = float(np.log10(known.tokens + known.words + 1))
-    return rows.join(met, "_row", "left").select(
+    return scored.join(met, "_row", "left").select(
         "doc_id",
         held_out().alias("held_out"),
         "n_tokens",
@@ -312,4 +344,5 @@ def score_corpus(docs: DataFrame, warm_docs: int = 1500, table: int = TABLE) ->
     training = docs.where(~held_out())
     counts = materialise(word_counts(training), "lm-counts")
     known = vocabulary(counts, table)
-    return score(docs, counts, known, train(training, known, warm_docs))
+    rows = encoded(docs, known)
+    return score(rows, counts, known, train(rows.where(~held_out()), known, warm_docs))
