@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeline.llm import packing as best_fit
-from gaugeline.llm import quality, simhash, simhash_wide, spans
+from gaugeline.llm import quality, simhash, spans
 from gaugeline.llm import toxicity as toxic
 
 # What the labels table knows, in the order of the chain; the last one decides.
@@ -28,8 +28,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, by runs of five words."""
-    return simhash.keep_one(docs, simhash_wide.near_duplicates(docs))
+    """One document of each group of near duplicates: shingle length and bits as in op6's query.
+
+    Fingerprints at most three bits apart are near duplicates without a further check. A
+    missing text, an empty one and one without words have one fingerprint; one of them stays.
+    """
+    return simhash.keep_one(docs, simhash.near_duplicates(docs))
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

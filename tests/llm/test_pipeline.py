@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+import brute
 import corpus_pipeline
 from gaugeline.llm import quality
 
@@ -62,6 +63,13 @@ def test_one_of_each_text_stays(outputs):
     assert all(after[i] == before[i] for i in after)
 
 
+def test_one_of_each_group_of_fingerprints_stays(outputs):
+    before, after = map(by_id, outputs["near duplicates"])
+    marks = {i: brute.simhash(r["text"]) for i, r in before.items()}
+    parts = brute.roots(marks, lambda a, b: (marks[a] ^ marks[b]).bit_count() <= 3)
+    assert set(after) == set(parts.values())
+
+
 def test_no_passage_is_left_twice(outputs):
     before, after = map(by_id, outputs["repeated spans"])
     assert set(after) <= set(before)
