@@ -3,7 +3,7 @@
 import public_tokenizers
 import pytest
 
-from gaugeline.llm import bpe, extraction, lm, packing, quality, simhash, simhash_wide, spans
+from gaugeline.llm import bpe, extraction, lm, packing, quality, simhash, spans
 from gaugeline.llm import spotsigs, stages, toxicity
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -20,7 +20,6 @@ PER_ROW = {
     "quality": quality.judge,
     "toxicity": judged,
     "simhash": simhash.near_duplicates,
-    "wide": simhash_wide.near_duplicates,
     "spots": spotsigs.near_duplicates,
     "edited": spotsigs.edited,
     "lm": lambda d: lm.score_corpus(d, warm_docs=5, table=50),

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import brute
 import oracle
-from gaugeline.llm import lm, queries, simhash_wide, spans, spotsigs, stages, toxicity
+from gaugeline.llm import lm, queries, spans, spotsigs, stages, toxicity
 
 SF = entry.SMOKE_DIR
 
@@ -176,46 +176,3 @@ def test_repeated_spans(spark, texts):
         assert r.n_removed == len(gone[r.doc_id])
         left = [text[s:e].split() for k, (s, e) in enumerate(places) if k not in gone[r.doc_id]]
         assert r.text.split() == [w for part in left for w in part]
-
-
-def test_wide_near_duplicates_are_sound(spark, documents, texts):
-    found = {r.doc_id: r.component_id for r in simhash_wide.near_duplicates(documents).collect()}
-    runs = {i: set(simhash_wide.run_hashes(t).tolist()) for i, t in texts.items()}
-    alike = lambda a, b: runs[a] == runs[b] or brute.jaccard(runs[a], runs[b]) >= 0.8
-    parts = brute.roots(texts, alike)
-    assert all(parts[found[i]] == parts[i] for i in texts)
-    same = {}
-    for i in sorted(texts):
-        assert found[i] <= same.setdefault(texts[i], i)
-
-
-def edited_family(template, own, pairs, seed):
-    """Texts of one template in pairs: each pair shares some of the words outside it."""
-    draw = np.random.default_rng(seed)
-    words = lambda n: [f"w{k}" for k in draw.integers(0, 10**9, n)]
-    base, texts = words(template), []
-    for _ in range(pairs):
-        common = words(own // 2)
-        texts += [" ".join(base + common + words(own - own // 2)) for _ in range(2)]
-    return texts
-
-
-@pytest.mark.parametrize("most", [simhash_wide.FAMILY, 40])
-def test_wide_near_duplicates_in_a_template_family(spark, most):
-    texts = dict(enumerate(edited_family(340, 60, 60, 1)))
-    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    found = {r.doc_id: r.component_id for r in simhash_wide.near_duplicates(docs, most=most).collect()}
-    runs = {i: set(simhash_wide.run_hashes(t).tolist()) for i, t in texts.items()}
-    pairs = [(a, b) for a in texts for b in texts if a < b and brute.jaccard(runs[a], runs[b]) >= 0.8]
-    parts = brute.roots(texts, lambda a, b: (min(a, b), max(a, b)) in set(pairs))
-    assert len(pairs) >= 50
-    assert all(parts[found[i]] == parts[i] for i in texts)
-    assert sum(found[a] == found[b] for a, b in pairs) >= 0.95 * len(pairs)
-
-
-def test_wide_fingerprint_ignores_repeats():
-    draw = np.random.default_rng(2)
-    words, line = ([f"w{k}" for k in draw.integers(0, 10**9, n)] for n in (304, 14))
-    for times in (5, 10):
-        once, more = (np.frombuffer(simhash_wide.fingerprint(" ".join(words + line * n)), np.uint64) for n in (1, times))
-        assert np.bitwise_count(once ^ more).sum() <= 16
