@@ -17,6 +17,8 @@ import numpy as np
 
 HIDDEN = 16
 WINDOW = 16
+# Tokens of one class that are multiplied together; a class's last block is filled up.
+BLOCK = 24
 
 
 @dataclass
@@ -121,29 +123,46 @@ class Network:
             grad.to_class += states.T @ wrong
             grad.class_bias += wrong.sum(0)
             pull = wrong @ self.to_class.T
+        self._predict_words(states, classes, words, grad, wild, out, pull)
+        return out, pull
+
+    def _predict_words(self, states, classes, words, grad, wild, out, pull) -> None:
+        """Adds the words' part to ``out`` and ``pull``, by blocks of tokens of one class."""
         order = np.argsort(classes, kind="stable")
         ends = np.searchsorted(classes[order], np.arange(self.shape.worded + 1))
-        for c in range(self.shape.worded):
-            rows = order[ends[c] : ends[c + 1]]
-            if not len(rows):
-                continue
-            own = states[rows]
-            score = own @ self.to_word[c]
-            score += self.word_bias[c]
-            if wild:
-                score -= score.max(1, keepdims=True)
-            m = np.arange(len(rows))
-            told = score[m, words[rows]]
-            exp = np.exp(score, out=score)
-            total = exp.sum(1)
-            out[rows] += told - np.log(total)
-            if grad is not None:
-                exp /= total[:, None]
-                exp[m, words[rows]] -= 1
-                grad.to_word[c] += own.T @ exp
-                grad.word_bias[c] += exp.sum(0)
-                pull[rows] += exp @ self.to_word[c].T
-        return out, pull
+        counts = np.diff(ends)
+        rows = order[: ends[-1]]
+        if not len(rows):
+            return
+        blocks = -(-counts // BLOCK)
+        first = np.cumsum(blocks) - blocks
+        of_block = np.repeat(np.arange(self.shape.worded), blocks)
+        slot = np.arange(len(rows)) + np.repeat(first * BLOCK - ends[:-1], counts)
+        own = np.zeros((len(of_block) * BLOCK, HIDDEN), np.float32)
+        own[slot] = states[rows]
+        own = own.reshape(-1, BLOCK, HIDDEN)
+        weights = self.to_word[of_block]
+        score = own @ weights
+        score += self.word_bias[of_block, None, :]
+        score = score.reshape(-1, self.shape.words)
+        if wild:
+            score -= score.max(1, keepdims=True)
+        told = score[slot, words[rows]]
+        exp = np.exp(score, out=score)
+        total = exp.sum(1)
+        out[rows] += told - np.log(total[slot])
+        if grad is None:
+            return
+        # Rows that only fill a block up get no weight.
+        share = np.zeros_like(total)
+        share[slot] = 1 / total[slot]
+        exp *= share[:, None]
+        exp[slot, words[rows]] -= 1
+        exp = exp.reshape(-1, BLOCK, self.shape.words)
+        met = np.flatnonzero(counts)
+        grad.to_word[met] += np.add.reduceat(own.transpose(0, 2, 1) @ exp, first[met])
+        grad.word_bias[met] += np.add.reduceat(exp.sum(1), first[met])
+        pull[rows] += (exp @ weights.transpose(0, 2, 1)).reshape(-1, HIDDEN)[slot]
 
     def back(self, rows, keep, before, gates, pull, grad: Network) -> None:
         """Gradients of a window, from those of its states."""
@@ -215,15 +234,24 @@ def windows(texts: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarray, np
 
 class Adam:
     def __init__(self, size: int, rate: float):
-        self.first, self.second = np.zeros(size, np.float32), np.zeros(size, np.float32)
+        self.first, self.second, self.room = (np.zeros(size, np.float32) for _ in range(3))
         self.rate, self.step = rate, 0
 
     def move(self, flat: np.ndarray, gradient: np.ndarray) -> None:
         self.step += 1
-        self.first += 0.1 * (gradient - self.first)
-        self.second += 0.01 * (gradient * gradient - self.second)
-        scale = self.rate / (1 - 0.9**self.step)
-        flat -= scale * self.first / (np.sqrt(self.second / (1 - 0.99**self.step)) + 1e-6)
+        room = np.subtract(gradient, self.first, out=self.room)
+        room *= 0.1
+        self.first += room
+        np.multiply(gradient, gradient, out=room)
+        room -= self.second
+        room *= 0.01
+        self.second += room
+        np.divide(self.second, 1 - 0.99**self.step, out=room)
+        np.sqrt(room, out=room)
+        room += 1e-6
+        np.divide(self.first, room, out=room)
+        room *= self.rate / (1 - 0.9**self.step)
+        flat -= room
 
 
 def train(net: Network, texts: list[np.ndarray], codes: Codes, adam: Adam, most: int = 128) -> int:
@@ -242,7 +270,8 @@ def train(net: Network, texts: list[np.ndarray], codes: Codes, adam: Adam, most:
         told = tokens[real]
         _, pull[real] = net.predict(before[real], codes.group[told], codes.place[told], grad)
         net.back(rows, keep, before, gates, pull, grad)
-        adam.move(net.flat, np.clip(grad.flat / count, -0.1, 0.1))
+        grad.flat /= count
+        adam.move(net.flat, np.clip(grad.flat, -0.1, 0.1, out=grad.flat))
         done += count
     return done
 
