@@ -646,6 +646,11 @@ def run_log(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def window_marks(spark: SparkSession, sf: str) -> DataFrame:
+    """The last window of every country by the marks that two runs kept."""
+    return planning.high_water_mark(fact_plan.windows_seen(spark, _ingested(spark, sf)))
+
+
 def load_log(spark: SparkSession, sf: str) -> DataFrame:
     """What the loads of two runs logged: readings staged, inserted and rejected."""
     log = spark.table(_ingested(spark, sf).run_log).where("kind = 'load'")
@@ -1200,6 +1205,11 @@ SELECT batch_id AS run_id, c.country_code, window_to AS ingestion_window_datetim
        count(DISTINCT sensor_id) AS bronze_rows, count(sensor_id) AS documents
 FROM (SELECT DISTINCT country_code FROM readings WHERE country_code IS NOT NULL) c
 CROSS JOIN windows LEFT JOIN came USING (batch_id, country_code, window_to) GROUP BY ALL""",
+        "window_marks": f"""
+WITH {_INGESTED}
+SELECT country_code, arg_max(window_from, window_to) AS last_from, max(window_to) AS last_to
+FROM (SELECT DISTINCT country_code FROM readings WHERE country_code IS NOT NULL) c
+CROSS JOIN windows GROUP BY country_code""",
         "load_log": f"""
 WITH {_INGESTED}
 SELECT count(*) AS staged, count(*) AS inserted, 0 AS rejected_payloads, 0 AS rejected_instants
@@ -1270,6 +1280,7 @@ _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     ingest_run,
     stream_pages_run,
     run_log,
+    window_marks,
     load_log,
     pages_to_daily,
     backlog_run,

@@ -22,6 +22,46 @@ BATCH_LOAD = "batch"
 UNNAMED_LOAD = "unnamed"
 
 
+# A write is done this many days after the day it began on, at the latest.
+ARRIVAL_MARGIN = 1
+
+
+def _folded_on(spark: SparkSession, tables: catalog.Tables) -> date | None:
+    return spark.table(tables.window_marks).agg(F.max("folded_on")).first()[0]
+
+
+def windows_seen(spark: SparkSession, tables: catalog.Tables) -> DataFrame:
+    """Windows of ingestions that hold the last one of every country.
+
+    These are the marks and what the run log got from the day before they were folded on;
+    older days of the log are neither listed nor opened.
+    """
+    names = ["country_code", "ingestion_window_datetime_from", "ingestion_window_datetime_to"]
+    log = spark.table(tables.run_log).where("kind = 'ingest'")
+    folded_on = _folded_on(spark, tables)
+    if folded_on is not None:
+        log = log.where(F.col(catalog.ARRIVED) >= F.date_sub(F.lit(folded_on), ARRIVAL_MARGIN))
+    return spark.table(tables.window_marks).select(*names).unionByName(log.select(*names))
+
+
+def fold_marks(spark: SparkSession, tables: catalog.Tables) -> None:
+    """Fold the run log into the marks, at most once a day.
+
+    A window is folded any number of times without harm, so marks lost to another writer
+    are made again from the log.
+    """
+    today, folded_on = _today(), _folded_on(spark, tables)
+    if folded_on is not None and folded_on >= today:
+        return
+    marks = planning.high_water_mark(windows_seen(spark, tables)).select(
+        "country_code",
+        F.col("last_from").alias("ingestion_window_datetime_from"),
+        F.col("last_to").alias("ingestion_window_datetime_to"),
+        F.lit(today).alias("folded_on"),
+    )
+    catalog.publish(marks.coalesce(1), tables.window_marks)
+
+
 def measurement_plan(
     spark: SparkSession,
     tables: catalog.Tables,
@@ -30,10 +70,10 @@ def measurement_plan(
 ) -> DataFrame:
     """Sensors to read and their window, of one country or, with None, of all.
 
-    Windows follow the last one in the run log, which also knows windows without data.
+    Windows follow the last one that was logged, also without data.
     """
     locations = spark.table(tables.dim_locations)
-    marks = spark.table(tables.run_log).where("kind = 'ingest'")
+    marks = windows_seen(spark, tables)
     if country_code is not None:
         country_code = country_code.upper() or DEFAULT_COUNTRY
         locations = planning.in_country(locations, country_code)
@@ -70,6 +110,7 @@ def ingest_measurements(
     catalog.append(rows, tables.bronze_measurements)
     written = spark.table(tables.bronze_measurements).where(F.col("batch_id") == batch_id)
     log_run(audit.ingested(plan, written, batch_id), tables, run_ts)
+    fold_marks(spark, tables)
 
 
 def log_run(rows: DataFrame, tables: catalog.Tables, run_ts: datetime) -> None:
@@ -80,10 +121,6 @@ def log_run(rows: DataFrame, tables: catalog.Tables, run_ts: datetime) -> None:
     catalog.append(stamped.coalesce(1), tables.run_log)
 
 
-# A write to bronze is done this many days after the day it began on, at the latest.
-ARRIVAL_MARGIN = 1
-
-
 def _arrivals(spark: SparkSession, tables: catalog.Tables, table: str) -> DataFrame:
     """What reached ``table`` since the last load that found all that was pending.
 

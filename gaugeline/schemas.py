@@ -118,6 +118,11 @@ RUN_LOG = _schema(
     "ingestion_window_datetime_to string, bronze_rows bigint, documents bigint, staged bigint, "
     "inserted bigint, rejected_payloads bigint, rejected_instants bigint, logged_at timestamp"
 )
+# The last window of every country, and the day through which the run log is in it.
+WINDOW_MARKS = _schema(
+    "country_code string, ingestion_window_datetime_from string, "
+    "ingestion_window_datetime_to string, folded_on date"
+)
 LOAD_STARTS = _schema("load_id string, state string, noted_at timestamp")
 
 # --- logical keys -------------------------------------------------------------------

@@ -87,6 +87,10 @@ class Tables:
     def day_changes(self) -> str:
         return self._name("day_changes")
 
+    @property
+    def window_marks(self) -> str:
+        return self._name("window_marks")
+
 
 def ensure_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -152,7 +156,8 @@ def ensure_all(spark: SparkSession, tables: Tables) -> None:
     ensure_table(spark, tables.pickup_marks, schemas.PICKUP_MARKS, [ARRIVED])
     ensure_table(spark, tables.day_changes, schemas.DAY_CHANGES, ["month"])
     ensure_table(spark, tables.load_starts, schemas.LOAD_STARTS)
-    ensure_table(spark, tables.run_log, schemas.RUN_LOG, ["kind"])
+    ensure_table(spark, tables.run_log, T.StructType(schemas.RUN_LOG.fields + [arrived]), ["kind", ARRIVED])
+    ensure_table(spark, tables.window_marks, schemas.WINDOW_MARKS)
     refresh(spark, tables)
 
 
@@ -171,6 +176,7 @@ def refresh(spark: SparkSession, tables: Tables) -> None:
         tables.run_log,
         tables.pickup_marks,
         tables.day_changes,
+        tables.window_marks,
     ):
         spark.catalog.refreshTable(table)
 
