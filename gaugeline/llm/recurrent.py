@@ -94,13 +94,20 @@ class Network:
             h += change
         return before, (updates, resets, news, pulled), h
 
-    def _wild(self) -> bool:
+    def wild(self) -> bool:
         """Whether a score could overflow; states lie between -1 and 1."""
         classes = np.abs(self.to_class).sum(0) + self.class_bias
         words = np.abs(self.to_word).sum(1) + self.word_bias
         return max(classes.max(initial=0), words.max(initial=0)) > 60
 
-    def predict(self, states: np.ndarray, classes: np.ndarray, words: np.ndarray, grad: Network | None):
+    def predict(
+        self,
+        states: np.ndarray,
+        classes: np.ndarray,
+        words: np.ndarray,
+        grad: Network | None,
+        wild: bool | None = None,
+    ):
         """Natural log probability of each token; with ``grad`` also the gradient of the states.
 
         ``words`` is a place within the class, unused for classes without words.
@@ -108,7 +115,8 @@ class Network:
         n = np.arange(len(states))
         score = states @ self.to_class
         score += self.class_bias
-        wild = self._wild()
+        if wild is None:
+            wild = self.wild()
         if wild:
             score -= score.max(1, keepdims=True)
         out = score[n, classes]
@@ -158,9 +166,12 @@ class Network:
         share[slot] = 1 / total[slot]
         exp *= share[:, None]
         exp[slot, words[rows]] -= 1
-        exp = exp.reshape(-1, BLOCK, self.shape.words)
         met = np.flatnonzero(counts)
-        grad.to_word[met] += np.add.reduceat(own.transpose(0, 2, 1) @ exp, first[met])
+        tokens = own.reshape(-1, HIDDEN)
+        for c in met.tolist():
+            part = slice(first[c] * BLOCK, (first[c] + blocks[c]) * BLOCK)
+            grad.to_word[c] += tokens[part].T @ exp[part]
+        exp = exp.reshape(-1, BLOCK, self.shape.words)
         grad.word_bias[met] += np.add.reduceat(exp.sum(1), first[met])
         pull[rows] += (exp @ weights.transpose(0, 2, 1)).reshape(-1, HIDDEN)[slot]
 
@@ -278,7 +289,7 @@ def train(net: Network, texts: list[np.ndarray], codes: Codes, adam: Adam, most:
 
 def score(net: Network, texts: list[np.ndarray], codes: Codes, most: int = 512) -> np.ndarray:
     """Natural log probability of each text, less what its codes add by themselves."""
-    total = np.zeros(len(texts))
+    total, wild = np.zeros(len(texts)), net.wild()
     h = None
     for tokens, keep, owner in windows(texts, most):
         if h is None:
@@ -286,7 +297,7 @@ def score(net: Network, texts: list[np.ndarray], codes: Codes, most: int = 512)
         before, _, h = net.run(codes.row[tokens], keep, h)
         real = owner >= 0
         told = tokens[real]
-        found, _ = net.predict(before[real], codes.group[told], codes.place[told], None)
+        found, _ = net.predict(before[real], codes.group[told], codes.place[told], None, wild)
         total += np.bincount(owner[real], found.astype(np.float64), len(texts))
     return total
 
