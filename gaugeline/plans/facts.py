@@ -403,7 +403,7 @@ def build_daily(
         if changes.isEmpty():
             return
         recent = recent.where(upsert.values_filter(changes, catalog.FACT_DAY))
-    stats = materialise(daily.daily_stats(daily.trailing_days(recent, as_of=as_of)), "daily")
+    stats = daily.daily_stats(daily.trailing_days(recent, as_of=as_of))
     current = spark.table(tables.daily).where(upsert.values_filter(stats, "day_start"))
     merged = upsert.upsert_daily(current, stats).hint("rebalance", "day_start")
     catalog.replace_partitions(merged, tables.daily)

@@ -68,3 +68,23 @@ def test_moved_sensor(spark):
     elsewhere = daily.daily_stats(facts(spark, [reading(1, 5.0, DAY, location=2)]))
     merged = {r.sensor_id: r for r in upsert.upsert_daily(current, elsewhere).collect()}
     assert (merged[1].location_id, merged[1].avg_value, merged[9].avg_value) == (1, 5.0, 1.0)
+
+
+def test_percentiles_of_large_groups_are_exact(spark):
+    """Some 60,000 values a group, far beyond what a sketch keeps; places may be NULL."""
+    rnd = random.Random(11)
+    numbers = [[rnd.random() ** 3 for _ in range(60_001)] for _ in range(2)]
+    numbers.append([float(rnd.randrange(4)) for _ in range(60_001)])
+    rows = [(i, v) for i, part in enumerate(numbers) for v in part] + [(0, None), (7, 5.0)]
+    fact = spark.createDataFrame(rows, "sensor_id int, value double").repartition(7).selectExpr(
+        "sensor_id", "if(sensor_id = 1, null, 4) AS location_id", "cast(null AS string) AS country_code",
+        "7 AS parameter_id", "'o3' AS parameter_name", "value",
+        "timestamp '2024-01-10 05:00:00' AS measurement_datetime_from_utc",
+    )
+    found = {r.sensor_id: r for r in daily.daily_stats(fact).collect()}
+    assert len(found) == 4 and (found[7].perc95_value, found[7].perc05_value) == (5.0, 5.0)
+    for i, part in enumerate(numbers):
+        ordered = sorted(part)
+        exact = tuple(ordered[(60_001 * percent + 99) // 100 - 1] for percent in (95, 5))
+        assert (found[i].perc95_value, found[i].perc05_value) == exact
+    assert found[0].reading_count == 60_002 and found[1].location_id is None
