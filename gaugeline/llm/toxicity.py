@@ -69,25 +69,36 @@ def fit_linear(
     kept_features: int = 4096,
     steps: int = 400,
 ) -> Linear:
-    """L1 logistic regression by accelerated proximal steps on the most telling features."""
+    """L1 logistic regression by accelerated proximal steps on the most telling features.
+
+    Labels are 0 or 1. What it holds beside the rows is a few arrays of the size of the
+    feature table and of the rows' cells among the features kept.
+    """
     n, positives = len(rows), labels.sum()
     rate = (positives + 0.5) / (n + 2)
     model = Linear(float(np.log(rate / (1 - rate))), {}, [0.0] * before.shape[1])
     if not 0 < positives < n:
         return model
     cells = np.concatenate(rows)
-    owner = np.repeat(np.arange(n), [len(r) for r in rows])
-    names, column, seen = np.unique(cells, return_inverse=True, return_counts=True)
-    with_label = np.bincount(column, labels[owner], len(names))
+    # Features are small numbers: counted by place, which takes no sort and little memory.
+    counts = np.bincount(cells, minlength=1 << TABLE_BITS)
+    names = np.flatnonzero(counts)
+    seen = counts[names]
+    marked = [r for r, label in zip(rows, labels) if label]
+    with_label = np.bincount(np.concatenate(marked), minlength=1 << TABLE_BITS)[names]
+    del counts, marked
     share = seen / n
     expected = seen * positives / n
     spread = np.sqrt(np.maximum(expected * (1 - positives / n) * (1 - share), 1e-9))
     telling = np.where(seen > 1, np.abs(with_label - expected) / spread, 0)
     top = np.argsort(-telling, kind="stable")[:kept_features]
-    place = np.full(len(names), -1)
-    place[top] = np.arange(len(top))
-    used = place[column] >= 0
-    owner, column = owner[used], place[column][used]
+    place = np.full(1 << TABLE_BITS, -1, np.int32)
+    place[names[top]] = np.arange(len(top))
+    column = place[cells]
+    used = np.flatnonzero(column >= 0)
+    ends = np.cumsum([len(r) for r in rows])
+    owner, column = np.searchsorted(ends, used, side="right"), column[used].astype(np.intp)
+    del cells, place, used
     width = len(top) + before.shape[1] + 1
 
     def forward(w: np.ndarray) -> np.ndarray:
@@ -181,17 +192,19 @@ def train(
                 yield pa.record_batch(columns, ["doc_id", "found", *(f"_{n}" for n in names)])
 
     kinds = ", ".join(f"_{n} double" for n in names)
-    # The sample is bounded by sample_rows, so it can go to every task and come back.
+    # The sample is bounded by sample_rows, so it can go to every task and come back. It
+    # comes as Arrow, whose lists are read where they lie: as Python numbers they are large.
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")
         .mapInArrow(run, f"doc_id bigint, found array<int>, {kinds}")
-        .toPandas()
-        .sort_values("doc_id", kind="stable")
+        .toArrow()
     )
-    folds = np.array([xxhash.xxh32_intdigest(str(i)) % FOLDS for i in rows["doc_id"]], int)
-    found = [np.asarray(r, np.int32) for r in rows["found"]]
-    return fit_chain(found, rows[[f"_{n}" for n in names]].to_numpy(float), folds, names)
+    order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
+    folds = np.array([xxhash.xxh32_intdigest(str(i)) % FOLDS for i in rows["doc_id"].to_numpy()[order]], int)
+    lists = [r.values.to_numpy(zero_copy_only=False) for r in rows["found"]]
+    labels = np.array([rows[f"_{n}"].to_numpy() for n in names]).T[order]
+    return fit_chain([lists[i] for i in order], labels, folds, names)
 
 
 LONGEST = 64  # characters of a word that is kept in the table
