@@ -674,11 +674,8 @@ def backlog_run(spark: SparkSession, sf: str) -> DataFrame:
     keys = ["batch_day", "sensor_id", "parameter_id", "location_id", "country_code"]
     packed = bronze.pack_documents(documents, keys, ["event_id"], sample.measurement_document())
     window = [F.lit(text) for text in WINDOW]
-    rows = bronze.stamp_measurements(packed, "", RUN_TS, *window).drop("batch_id")
-    named = packed.select(
-        "sensor_id", "api_payload", F.concat(F.lit("day-"), "batch_day").alias("batch_id")
-    )
-    rows = rows.join(named, ["sensor_id", "api_payload"]).dropDuplicates()
+    batch_id = F.concat(F.lit("day-"), "batch_day")
+    rows = bronze.stamp_measurements(packed, batch_id, RUN_TS, *window)
     catalog.append(rows, tables.bronze_measurements)
     fact_plan.transform_measurements(spark, tables, RUN_TS)
     return _plain(spark.table(tables.fact)).select(

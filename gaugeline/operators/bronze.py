@@ -104,8 +104,11 @@ def ranked(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataF
     )
 
 
-def stamp(packed: DataFrame, batch_id: str, constants: Mapping[str, Column]) -> DataFrame:
-    """Add the batch id and the run's other constants; both are the caller's."""
+def stamp(packed: DataFrame, batch_id: str | Column, constants: Mapping[str, Column]) -> DataFrame:
+    """Add the batch id and the run's other constants; both are the caller's.
+
+    Rows of several batches name theirs by a column.
+    """
     return packed.withColumns({"batch_id": F.lit(batch_id), **constants})
 
 
@@ -116,7 +119,7 @@ def stamp_locations(packed: DataFrame, batch_id: str, run_ts: datetime) -> DataF
 
 def stamp_measurements(
     packed: DataFrame,
-    batch_id: str,
+    batch_id: str | Column,
     run_ts: datetime,
     window_from: Column,
     window_to: Column,
