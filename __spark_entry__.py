@@ -591,6 +591,7 @@ def _ingested(spark: SparkSession, sf: str) -> catalog.Tables:
     pages = bronze.pack_documents(
         documents, ["sensor_id", "page", "status"], ["event_id"], sample.measurement_document()
     )
+    pages = materialise(pages, "packed-pages")  # both runs get the same ones
     for batch_id, run_ts in (("m-1", FIRST_RUN_TS), ("m-2", SECOND_RUN_TS)):
         sample.land(pages, path, batch_id)
         fact_plan.run_facts(spark, tables, batch_id, run_ts, path, None, AS_OF)
