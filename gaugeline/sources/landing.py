@@ -168,8 +168,12 @@ def within_window(results: Column, window_from: Column, window_to: Column) -> Co
     start = F.date_trunc("second", window_from)
     end = F.date_trunc("second", window_to)
 
-    def inside(document: Column) -> Column:
+    def dated(document: Column) -> Column:
         at = parse_instant(F.get_json_object(document, "$.period.datetimeFrom.utc"))
-        return F.coalesce((at >= start) & (at < end), F.lit(True))
+        return F.struct(document.alias("document"), at.alias("at"))
 
-    return F.filter(results, inside)
+    def inside(x: Column) -> Column:
+        return F.coalesce((x["at"] >= start) & (x["at"] < end), F.lit(True))
+
+    # Dated first, so that the document is parsed once and not for either bound.
+    return F.transform(F.filter(F.transform(results, dated), inside), lambda x: x["document"])

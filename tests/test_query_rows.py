@@ -6,6 +6,8 @@ import os
 import duckdb
 import __spark_entry__ as entry
 import oracle
+from gaugeline.sources import landing
+from pyspark.sql import functions as F
 
 
 def _events(folder, sql):
@@ -27,3 +29,15 @@ def test_backlog_keeps_rows_of_one_content(spark, tmp_path):
     path, duck = _events(tmp_path, same)
     found = entry.backlog_run(spark, path)
     assert oracle.differences(found, duck, entry.oracle_sql()["backlog_run"]) == []
+
+
+def test_a_document_is_dated_once(spark):
+    """Dating is most of the work of a window; either bound looks at the one date."""
+    rows = spark.createDataFrame(
+        [(['{"period":{"datetimeFrom":{"utc":"2024-01-01T05:00:00Z"}}}', "{}", None],), (None,)], "results array<string>"
+    )
+    bounds = [F.lit(f"2024-01-01T0{h}:00:00Z").cast("timestamp") for h in (5, 6)]
+    kept = rows.select(landing.within_window(F.col("results"), *bounds).alias("results"))
+    assert [r.results and len(r.results) for r in kept.collect()] == [3, None]
+    plan = kept._jdf.queryExecution().analyzed().toString()
+    assert plan.count("get_json_object") == 1
