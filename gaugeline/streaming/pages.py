@@ -6,8 +6,8 @@ what ``page_prefix`` keeps of the pages landed so far.
 
 What is open is kept per feed in small tables beside the stream's checkpoint: how far
 the feed has been released, whether it has ended, and narrow marks of the pages that
-wait for an earlier one. The pages themselves are written once, as they land, and read
-again when their turn comes; none is moved by its feed. Joins of marks and feeds move
+wait for an earlier one. The pages themselves are written once, as they land, with their
+documents inside the window, and read again when their turn comes; none is moved by its feed. Joins of marks and feeds move
 about 40 bytes a page, of the pages one micro-batch takes up and of those that wait.
 """
 
@@ -17,7 +17,7 @@ import uuid
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,6 +131,10 @@ def settle(
     return feeds.select(*_FEEDS.names), waiting.select(*_MARKS.names)
 
 
+def _inside() -> Column:
+    return landing.within_window(F.col("results"), F.col("window_from"), F.col("window_to"))
+
+
 def _plan(
     spark: SparkSession, tables: catalog.Tables, state: str, run_ts: datetime, country_code: str | None
 ) -> str:
@@ -185,8 +189,12 @@ def stream_pages(
     def ingest(pages: DataFrame, epoch: int) -> None:
         session = pages.sparkSession
         planned = lookup_join(pages, session.read.parquet(plan), FEED, "inner", facts.PLAN_BROADCAST)
-        planned = planned.withColumn("documents", landing.document_count(F.col("results")))
-        landed = _write(planned, state, "landed", epoch)
+        # The copy is read again each time one of its pages has its turn, so it holds only
+        # what can reach bronze; documents are counted before.
+        documents = landing.document_count(F.col("results"))
+        good = (F.col("status") == landing.STATUS_OK) & (documents > 0)
+        inside = F.when(good, _inside())
+        landed = _write(planned.withColumns({"documents": documents, "results": inside}), state, "landed", epoch)
         feeds, waiting = _before(session, state, epoch)
         marks = landed.select(*FEED, "page", "status", "documents", F.lit(epoch).cast("bigint").alias("landed"))
         released, opened = advance(marks.unionByName(waiting), feeds, page_limit)
@@ -208,12 +216,13 @@ def stream_pages(
         folders = [_folder(state, "landed", e) for e in epochs]
         pages = session.read.schema(whole).option("basePath", f"{state}/landed").parquet(*folders)
         turn = released.select(*FEED, "page", F.col("landed").alias("epoch")).distinct()
-        # Of a page released before, only good copies come later.
+        # Of a page released before, only good copies come later. One with nothing to bring
+        # need not be looked for; copies of an earlier form hold all documents.
         good = (F.col("status") == landing.STATUS_OK) & (F.col("documents") > 0)
-        due = lookup_join(pages.where(good), turn, [*FEED, "page", "epoch"], "left_semi", RELEASED_BROADCAST)
-        inside = landing.within_window(F.col("results"), F.col("window_from"), F.col("window_to"))
+        bring = pages.where(good).withColumn("results", _inside()).where(F.size("results") > 0)
+        due = lookup_join(bring, turn, [*FEED, "page", "epoch"], "left_semi", RELEASED_BROADCAST)
         rows = bronze.stamp_measurements(
-            bronze.pack_pages(due.withColumn("results", inside)),
+            bronze.pack_pages(due),
             batch,
             run_ts,
             iso_offset(F.col("window_from")),
