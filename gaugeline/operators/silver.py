@@ -37,7 +37,14 @@ def explode_batches(
     ``instant_rejects`` count them). ``observation`` learns ``rejected_payloads`` when the
     rows are written.
     """
-    parsed = bronze.withColumn("items", F.from_json("api_payload", schemas.MEASUREMENT_ITEMS))
+    # What all readings of a row share is parsed before they are told apart.
+    shared = ["ingestion_datetime", "ingestion_window_datetime_from", "ingestion_window_datetime_to"]
+    parsed = bronze.withColumns(
+        {
+            "items": F.from_json("api_payload", schemas.MEASUREMENT_ITEMS),
+            **{name: parse_instant(F.col(name)) for name in shared},
+        }
+    )
     if observation is not None:
         rejected = F.count_if(F.col("items").isNull()).alias("rejected_payloads")
         parsed = parsed.observe(observation, rejected)
@@ -52,11 +59,7 @@ def explode_batches(
         F.col("item.unit").alias("unit"),
         parse_instant(F.col("item.period.datetimeFrom.utc")).alias("measurement_datetime_from_utc"),
         parse_instant(F.col("item.period.datetimeTo.utc")).alias("measurement_datetime_to_utc"),
-        parse_instant(F.col("ingestion_datetime")).alias("ingestion_datetime"),
-        parse_instant(F.col("ingestion_window_datetime_from")).alias(
-            "ingestion_window_datetime_from"
-        ),
-        parse_instant(F.col("ingestion_window_datetime_to")).alias("ingestion_window_datetime_to"),
+        *shared,
         F.to_json("item").alias("raw_json"),
         instant_or_now(run_ts).alias("exploded_at"),
     )

@@ -156,19 +156,30 @@ def stage(
     load_id: str,
     run_ts: datetime,
     observation: Observation | None = None,
+    batches: DataFrame | None = None,
 ) -> DataFrame:
     """Write the staging rows of a load once and read them back.
 
-    Rows without a batch id have one place, replaced whenever they are tried again.
+    Rows without a batch id have one place, replaced whenever they are tried again. Rows of
+    one batch are written by the tasks that parse them, as all of them have one place; those
+    of several are first dealt out by batch.
+    ``batches`` has the batch_id of all rows, where these are costly to read again.
     """
     unnamed = F.col("batch_id").isNull()
-    staged = silver.explode_batches(rows, run_ts, observation).withColumn(
-        catalog.LOAD_ID, F.when(unnamed, UNNAMED_LOAD).otherwise(load_id)
-    )
-    catalog.replace_partitions(staged.hint("rebalance", "batch_id"), tables.staging)
+    listed = (rows if batches is None else batches).select("batch_id")
+    found = [r.batch_id for r in listed.distinct().limit(2).collect()]
+    staged = silver.explode_batches(rows, run_ts, observation)
     own = F.col(catalog.LOAD_ID) == load_id
-    if not rows.where(unnamed).isEmpty():
-        own = own | (F.col(catalog.LOAD_ID) == UNNAMED_LOAD)
+    if len(found) == 1 and found[0] is not None:
+        # Literals, so that the write has no partitions to sort by.
+        place = {catalog.LOAD_ID: F.lit(load_id), "batch_id": F.lit(found[0])}
+        catalog.replace_partitions(staged.withColumns(place), tables.staging)
+    else:
+        place = F.when(unnamed, UNNAMED_LOAD).otherwise(load_id)
+        staged = staged.withColumn(catalog.LOAD_ID, place)
+        catalog.replace_partitions(staged.hint("rebalance", "batch_id"), tables.staging)
+        if not listed.where(unnamed).isEmpty():
+            own = own | (F.col(catalog.LOAD_ID) == UNNAMED_LOAD)
     return rows.sparkSession.table(tables.staging).where(own)
 
 
@@ -302,21 +313,23 @@ def load_batches(
     load_id: str,
     run_ts: datetime,
     arrived: date | None = None,
+    batches: DataFrame | None = None,
 ) -> None:
     """One load: claim the fact, stage, append, note the days, confirm, commit.
 
     A load that fails is undone at once, one whose process dies when it is stale.
+    ``batches`` has (arrived_on, batch_id) of all rows, where these are costly to read again.
     """
     spark = rows.sparkSession
     claim(spark, tables, load_id)
     try:
         observation = Observation()
-        staged = stage(rows, tables, load_id, run_ts, observation)
+        staged = stage(rows, tables, load_id, run_ts, observation, batches)
         append_facts(staged, tables, run_ts, load_id)
         days = touched_days(spark, tables, load_id).withColumn(catalog.LOAD_ID, F.lit(load_id))
         note_days(days, tables, "touched")
         confirm(spark, tables, load_id)
-        log_batches(rows, tables, run_ts, load_id, arrived or _today())
+        log_batches(rows if batches is None else batches, tables, run_ts, load_id, arrived or _today())
     except Exception:
         # What is committed stays, also if only the answer to its commit was lost.
         if not open_loads(spark, tables).where(F.col(catalog.LOAD_ID) == load_id).isEmpty():

@@ -4,11 +4,44 @@ import json
 from datetime import timedelta
 
 from pyspark.sql import functions as F
-from test_plans import NOW, location, measurement, page
+from test_plans import NOW, bronze_rows, location, measurement, page
 
-from gaugeline.plans import dimensions
+from gaugeline.operators import silver
+from gaugeline.plans import dimensions, facts
+from gaugeline.sources import catalog
 from gaugeline.streaming.pages import stream_pages
 
+DOCS = [measurement(NOW - timedelta(hours=h), float(h)) for h in range(6)]
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_instants_of_a_row_are_parsed_once(spark):
+    plan = optimized(silver.explode_batches(bronze_rows(spark, [("a", 1, DOCS)]), NOW))
+    readings, rows = plan.split("Generate", 1)
+    for name in ("ingestion_datetime", "ingestion_window_datetime_from", "ingestion_window_datetime_to"):
+        assert f"cast({name}" not in readings and f"cast({name}" in rows
+
+
+def test_readings_of_one_batch_are_not_moved(spark, tables, monkeypatch):
+    """Those of several batches are still dealt out; rows without a batch have one place."""
+    real, plans = catalog.replace_partitions, []
+
+    def replace(df, table):
+        plans.append(optimized(df))
+        real(df, table)
+
+    monkeypatch.setattr(catalog, "replace_partitions", replace)
+    one = facts.stage(bronze_rows(spark, [("a", 1, DOCS), ("a", 2, DOCS[:1])]), tables, "l1", NOW)
+    assert {(r.batch_id, r.load_id) for r in one.collect()} == {("a", "l1")} and one.count() == 7
+    two = facts.stage(bronze_rows(spark, [("a", 1, DOCS), ("b", 1, DOCS)]), tables, "l2", NOW)
+    assert two.count() == 12
+    none = facts.stage(bronze_rows(spark, [(None, 1, DOCS)]), tables, "l3", NOW)
+    assert {(r.batch_id, r.load_id) for r in none.collect()} == {(None, facts.UNNAMED_LOAD)}
+    assert ["RebalancePartitions" in plan for plan in plans] == [False, True, True]
+
 
 def test_the_copy_of_pages_holds_the_window_only(spark, tables, land, tmp_path):
     places = land("places", [page([location(1, "PT", [10])])], "d")
