@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gaugeline.operators import upsert
 from gaugeline.operators.joins import lookup_join
 from gaugeline.plans import facts
-from gaugeline.session import configure
+from gaugeline.session import configure, materialise
 from gaugeline.sources import catalog
 
 
@@ -44,18 +44,22 @@ def stream_facts(
         catalog.refresh(session, tables)
         # Only one query runs on a checkpoint, so open loads of this stream are dead.
         facts.undo_unfinished(session, tables, own=f"{stream}@")
-        last = rows.agg(F.max(catalog.ARRIVED)).first()[0]
+        # Whatever is asked of a micro-batch reads its payloads, so it is asked once.
+        names = [catalog.ARRIVED, "batch_id"]
+        came = materialise(rows.select(*names).distinct(), "came")
+        last = came.agg(F.max(catalog.ARRIVED)).first()[0]
         if last is None:
             return
-        log = session.table(tables.batch_log).where(upsert.values_filter(rows, catalog.ARRIVED))
+        log = session.table(tables.batch_log).where(upsert.values_filter(came, catalog.ARRIVED))
         own = F.startswith(F.col(catalog.LOAD_ID), F.lit(f"{stream}@"))
         this = F.startswith(F.col(catalog.LOAD_ID), F.lit(f"{stream}@{epoch}@"))
         if not log.where(this).isEmpty():
             return
         # Batches that other loads brought are done; a batch of this stream may go on.
-        names = [catalog.ARRIVED, "batch_id"]
-        fresh = lookup_join(rows, log.where(~own).select(*names).distinct(), names, "left_anti")
-        facts.load_batches(fresh, tables, f"{stream}@{epoch}@{uuid.uuid4().hex}", run_ts, last)
+        done = materialise(log.where(~own).select(*names).distinct(), "done")
+        fresh, batches = (lookup_join(df, done, names, "left_anti") for df in (rows, came))
+        load_id = f"{stream}@{epoch}@{uuid.uuid4().hex}"
+        facts.load_batches(fresh, tables, load_id, run_ts, last, batches)
 
     reader = spark.readStream
     if files_per_trigger is not None:

@@ -4,11 +4,12 @@ import json
 from datetime import timedelta
 
 from pyspark.sql import functions as F
-from test_plans import NOW, bronze_rows, location, measurement, page
+from test_plans import AS_OF, NOW, bronze_rows, location, measurement, page
 
 from gaugeline.operators import silver
 from gaugeline.plans import dimensions, facts
 from gaugeline.sources import catalog
+from gaugeline.streaming.facts import stream_facts
 from gaugeline.streaming.pages import stream_pages
 
 DOCS = [measurement(NOW - timedelta(hours=h), float(h)) for h in range(6)]
@@ -18,6 +19,22 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_a_micro_batch_is_logged_from_its_list(spark, tables, tmp_path, monkeypatch):
+    """Its rows are an RDD, so each use would read all payloads again."""
+    real, logged = facts.log_batches, []
+
+    def log(batches, *rest):
+        logged.append(batches.columns)
+        real(batches, *rest)
+
+    monkeypatch.setattr(facts, "log_batches", log)
+    catalog.append(bronze_rows(spark, [("a", 1, DOCS), ("b", 1, DOCS[:2])]), tables.bronze_measurements)
+    stream_facts(spark, tables, str(tmp_path / "stream"), NOW, AS_OF)
+    assert logged == [[catalog.ARRIVED, "batch_id"]]
+    done = spark.table(tables.batch_log).dropna(subset=["batch_id"]).collect()
+    assert sorted(r.batch_id for r in done) == ["a", "b"]
+
+
 def test_instants_of_a_row_are_parsed_once(spark):
     plan = optimized(silver.explode_batches(bronze_rows(spark, [("a", 1, DOCS)]), NOW))
     readings, rows = plan.split("Generate", 1)
